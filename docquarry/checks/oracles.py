@@ -14,6 +14,15 @@ def _digits(value: str) -> str:
     return rf"regexp_replace(CAST({value} AS VARCHAR), '\.0$', '')"
 
 
+def _small_digits(value: str) -> str:
+    """Positional double text where DuckDB writes a negative exponent (below 1e-4)."""
+    text = f"CAST({value} AS VARCHAR)"
+    mantissa = rf"regexp_replace(split_part({text}, 'e', 1), '[-.]', '', 'g')"
+    zeros = f"repeat('0', CAST(split_part({text}, 'e-', 2) AS INTEGER) - 1)"
+    sign = f"CASE WHEN {text} LIKE '-%' THEN '-' ELSE '' END"
+    return f"CASE WHEN {text} LIKE '%e-%' THEN {sign} || '0.' || {zeros} || {mantissa} ELSE {_digits(value)} END"
+
+
 _USER_TYPE = "CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN NULL ELSE event_type END"
 _HAS_USER_TYPE = "event_id % 7 <> 0"
 _TAG_IS_DOC = "event_id % 3 = 0"
@@ -207,7 +216,7 @@ SQL: dict[str, str] = {
     "FROM orders",
     "render_binary": "SELECT doc_id, lower(hex(encode(text))) AS bytes FROM documents",
     "render_array": "SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: "
-    + _digits("round(CAST(x AS DOUBLE), 4)")
+    + _small_digits("CAST(x AS DOUBLE)")
     + "), ',') || ']' AS embedding FROM embeddings",
     "render_datetime": f"SELECT event_id, {_ISO_MS.format('ts')} AS ts FROM events",
     "render_nested": """SELECT c_custkey, '{"c_name":"' || c_name || '","c_nationkey":' || c_nationkey

@@ -334,9 +334,7 @@ def render_binary(spark, sf):
 
 @query
 def render_array(spark, sf):
-    vectors = table(spark, sf, "embeddings").select(
-        "vec_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("embedding")
-    )
+    vectors = table(spark, sf, "embeddings")
     return vectors.select("vec_id", *_rendered(vectors, "embedding"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
 from docquarry.functions import values
+from docquarry.functions.variants import canonical_json
 
 MODES = ("canonical", "relaxed", "plain")
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -34,24 +35,13 @@ def _object(value: Column) -> Column:
     return F.to_variant_object(value)
 
 
-def canonical_double_text(value: Column) -> Column:
-    """Positional double text that always shows it is a double: ``1.0``, ``Infinity``."""
-    text = values.double_text(value)
-    return (
-        F.when(text == "inf", "Infinity")
-        .when(text == "-inf", "-Infinity")
-        .when((text == "NaN") | text.contains("."), text)
-        .otherwise(F.concat(text, F.lit(".0")))
-    )
-
-
 def _double(value: Column, mode: str) -> Column:
     value = value.cast("double")
     if mode == "canonical":
-        return _present(value, _field("$numberDouble", canonical_double_text(value)))
+        return _present(value, _field("$numberDouble", values.canonical_double_text(value)))
     finite = ~F.isnan(value) & (F.abs(value) != float("inf"))
     if mode == "relaxed":
-        wrapped = _object(_field("$numberDouble", canonical_double_text(value)))
+        wrapped = _object(_field("$numberDouble", values.canonical_double_text(value)))
         return F.when(finite, _variant(value)).when(value.isNotNull(), wrapped)
     return F.when(finite, value)
 
@@ -86,7 +76,7 @@ def json_ready(value: Column, dtype: T.DataType, mode: str) -> Column:
     if isinstance(dtype, T.LongType) and mode == "canonical":
         return _present(value, _field("$numberLong", value.cast("string")))
     if isinstance(dtype, T.DecimalType):
-        text = values.decimal_text(value)
+        text = values.decimal_text(value, dtype)
         return text if mode == "plain" else _present(value, _field("$numberDecimal", text))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return _instant(value, dtype, mode)
@@ -105,47 +95,10 @@ def json_ready(value: Column, dtype: T.DataType, mode: str) -> Column:
         parts = [json_ready(value.getField(f.name), f.dataType, mode).alias(f.name) for f in dtype.fields]
         return _present(value, F.struct(*parts)) if parts else value
     if isinstance(dtype, T.VariantType) and mode == "canonical":
-        return F.parse_json(canonical_variant_json(value))
+        return F.parse_json(canonical_json(value))
     return value
 
 
-def canonical_variant_json(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
-    """Canonical JSON text of a VARIANT that came from JSON text.
-
-    Whole numbers that fit 32 bits become ``$numberInt``, larger ones ``$numberLong``, all other
-    numbers ``$numberDouble``.  Objects and arrays share one recursive step, which appears once in the
-    expression of each level, so its size grows linearly with the depth.
-    """
-    as_map, as_list = dt.as_object(value), dt.as_array(value)
-    no_key = F.lit(None).cast("string")
-    entries = F.coalesce(
-        F.transform(F.map_entries(as_map), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))),
-        F.transform(as_list, lambda x: F.struct(no_key.alias("k"), x.alias("v"))),
-    )
-
-    def piece(entry: Column) -> Column:
-        label = F.when(entry["k"].isNull(), "").otherwise(
-            F.concat(F.to_json(_variant(entry["k"])), F.lit(":"))
-        )
-        return F.concat(label, canonical_variant_json(entry["v"], depth - 1))
-
-    inner = dt.too_deep(dt.DEFAULT_DEPTH) if depth == 0 else F.array_join(F.transform(entries, piece), ",")
-    is_map = as_map.isNotNull()
-    opening, closing = F.when(is_map, "{").otherwise("["), F.when(is_map, "}").otherwise("]")
-    kind = F.schema_of_variant(value)
-    whole = F.try_variant_get(value, "$", "bigint")
-    number = F.try_variant_get(value, "$", "double")
-    int_key = F.when(whole.between(-(2**31), 2**31 - 1), "$numberInt").otherwise("$numberLong")
-    wrapped = lambda key, text: F.concat(F.lit('{"'), key, F.lit('":"'), text, F.lit('"}'))
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(is_map | as_list.isNotNull(), F.concat(opening, inner, closing))
-        .when(kind == "BIGINT", wrapped(int_key, whole.cast("string")))
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), wrapped(F.lit("$numberDouble"), canonical_double_text(number)))
-        .otherwise(F.to_json(value))
-    )
-
-
 def embedded_json(value: Column, dtype: T.DataType) -> Column:
     """JSON text of a sub-document inside a cell."""
     return F.to_json(json_ready(value, dtype, "embedded"), _KEEP_NULLS)
@@ -158,7 +111,7 @@ def document_json(df: DataFrame, mode: str = "canonical", doc: str | None = None
     if doc is not None:
         value = dt.column(doc)
         if isinstance(dt.field_type(df.schema, doc), T.VariantType):
-            return canonical_variant_json(value) if mode == "canonical" else F.to_json(value)
+            return canonical_json(value) if mode == "canonical" else F.to_json(value)
         return F.to_json(json_ready(value, df.schema[doc].dataType, mode), _KEEP_NULLS)
     parts = [json_ready(dt.column(f.name), f.dataType, mode).alias(f.name) for f in df.schema.fields]
     return F.to_json(F.struct(*parts), _KEEP_NULLS)

@@ -11,50 +11,68 @@ from pyspark.sql import Column, functions as F, types as T
 
 from docquarry.functions import types as dt
 
-# First and last millisecond whose year RFC 3339 can write (years 0000 to 9999).
-FIRST_RFC3339_MS = -62167219200000
-LAST_RFC3339_MS = 253402300799999
+# Fixed value: fraction digits that write out the smallest double in full.
+DOUBLE_FRACTION_DIGITS = 345
 _NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _LTZ_EPOCH = "TIMESTAMP_LTZ'1970-01-01 00:00:00Z'"
+# The first and the first no longer writable instant of RFC 3339 (years 0000 to 9999),
+# and the last such millisecond.
+_RFC3339_FROM = "TIMESTAMP_NTZ'0000-01-01 00:00:00'"
+_RFC3339_TO = "TIMESTAMP_NTZ'+10000-01-01 00:00:00'"
+LAST_RFC3339_MS = 253402300799999
 
 
-def plain_number_text(text: Column) -> Column:
-    """JVM number text -> positional digits: no exponent, no trailing ``.0``."""
-    negative = text.startswith("-")
-    body = F.ltrim(text, F.lit("-"))
-    mantissa = F.substring_index(body, "E", 1)
-    exponent = F.substring_index(body, "E", -1).try_cast("int")
-    whole = F.substring_index(mantissa, ".", 1)
-    fraction = F.when(mantissa.contains("."), F.substring_index(mantissa, ".", -1)).otherwise("")
-    fraction = F.regexp_replace(fraction, "0+$", "")
-    digits = F.concat(whole, fraction)
-    point = F.length(whole) + exponent
-    shifted = (
-        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-        .when(point >= F.length(digits), F.rpad(digits, point, "0"))
-        .otherwise(
-            F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.length(digits)))
-        )
-    )
-    positional = F.when(body.contains("E"), shifted).otherwise(
-        F.when(fraction == "", whole).otherwise(F.concat(whole, F.lit("."), fraction))
-    )
-    return F.concat(F.when(negative, "-").otherwise(""), positional)
+def written_out(value: Column) -> Column:
+    """Double in positional digits with a point and without padding: ``1000.``, ``0.00015``.
+
+    Java's ``%f`` pads the digits of its shortest form with zeros, so no digit is invented.  It is
+    slow; callers keep it for values that Spark prints with an exponent.
+    """
+    return F.rtrim(F.format_string(f"%.{DOUBLE_FRACTION_DIGITS}f", value), F.lit("0"))
 
 
 def double_text(value: Column) -> Column:
-    """Shortest positional form of a double: ``2.5``, ``100000000000000000000``, ``-0``."""
+    """Shortest positional form of a double: ``2.5``, ``100000000000000000000``, ``-0``.
+
+    Every branch works on the same printed text, which Spark then evaluates once.
+    """
+    text = value.cast("string")
+    return (
+        F.when(text.contains("E"), F.rtrim(written_out(value), F.lit(".")))
+        .when(text.endswith(".0"), F.left(text, F.length(text) - 2))
+        .when(text.endswith("Infinity"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+        .otherwise(text)
+    )
+
+
+def canonical_double_text(value: Column) -> Column:
+    """Positional double text that always shows it is a double: ``1.0``, ``Infinity``."""
+    text, whole = value.cast("string"), written_out(value)
+    exponent = F.when(whole.endswith("."), F.concat(whole, F.lit("0"))).otherwise(whole)
+    return F.when(text.contains("E"), exponent).otherwise(text)
+
+
+def _without_padding(text: Column) -> Column:
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+
+
+def plain_number_text(text: Column) -> Column:
+    """Number text as JSON prints it -> positional digits: no exponent, no trailing ``.0``."""
     return (
-        F.when(F.isnan(value), "NaN")
-        .when(value == float("inf"), "inf")
-        .when(value == float("-inf"), "-inf")
-        .otherwise(plain_number_text(value.cast("string")))
+        F.when(text.contains("E"), F.rtrim(written_out(text.try_cast("double")), F.lit(".")))
+        .when(text.contains("."), _without_padding(text))
+        .otherwise(text)
     )
 
 
-def decimal_text(value: Column) -> Column:
+def decimal_text(value: Column, dtype: T.DecimalType) -> Column:
     """Decimal digits without the padding zeros of a fixed scale."""
-    return plain_number_text(value.cast("string"))
+    if dtype.scale == 0:
+        return value.cast("string")
+    text = value.cast("string")
+    # Outside ANSI mode Spark prints small decimals with an exponent; %f is exact for decimals.
+    positional = F.when(text.contains("E"), F.format_string(f"%.{dtype.scale}f", value)).otherwise(text)
+    return _without_padding(positional)
 
 
 def hex_text(value: Column) -> Column:
@@ -78,7 +96,6 @@ def rfc3339(value: Column, dtype: T.DataType) -> Column:
 
     The text is assembled from a zone-free timestamp, so it does not depend on the session zone.
     """
-    millis = epoch_millis(value, dtype)
     if isinstance(dtype, T.TimestampNTZType):
         wall = value
     elif isinstance(dtype, T.DateType):
@@ -86,11 +103,12 @@ def rfc3339(value: Column, dtype: T.DataType) -> Column:
     else:
         micros = F.timestamp_diff("MICROSECOND", F.expr(_LTZ_EPOCH), value)
         wall = F.timestamp_add("MICROSECOND", micros, F.expr(_NTZ_EPOCH))
-    text = wall.cast("string")
-    fraction = F.lpad(F.pmod(millis, F.lit(1000)).cast("string"), 3, "0")
-    iso = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), fraction, F.lit("Z"))
-    in_range = millis.between(FIRST_RFC3339_MS, LAST_RFC3339_MS)
-    return F.when(in_range, iso).otherwise(millis.cast("string"))
+    text = F.translate(wall.cast("string"), " ", "T")
+    iso = F.when(F.length(text) == 19, F.concat(text, F.lit(".000Z"))).otherwise(
+        F.concat(F.rpad(text, 23, "0"), F.lit("Z"))
+    )
+    in_range = (wall >= F.expr(_RFC3339_FROM)) & (wall < F.expr(_RFC3339_TO))
+    return F.when(in_range, iso).otherwise(epoch_millis(value, dtype).cast("string"))
 
 
 def wrapper_text(value: Column, key: str) -> Column:
@@ -110,13 +128,14 @@ def wrapper_text(value: Column, key: str) -> Column:
 def render(value: Column, dtype: T.DataType, depth: int = dt.DEFAULT_DEPTH) -> Column:
     """Value of any document type as cell text; NULL for missing and null."""
     from docquarry.functions.jsonmodes import embedded_json
+    from docquarry.functions.variants import render_variant
 
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
         return value
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return double_text(value.cast("double"))
     if isinstance(dtype, T.DecimalType):
-        return decimal_text(value)
+        return decimal_text(value, dtype)
     if isinstance(dtype, T.BinaryType):
         return hex_text(value)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -133,33 +152,3 @@ def render(value: Column, dtype: T.DataType, depth: int = dt.DEFAULT_DEPTH) -> C
     if isinstance(dtype, T.NullType):
         return F.lit(None).cast("string")
     return value.cast("string")
-
-
-def variant_scalar_text(value: Column) -> Column:
-    """Text of a VARIANT that is neither an object nor an array."""
-    kind = F.schema_of_variant(value)
-    stamp = F.try_variant_get(value, "$", "timestamp")
-    local = F.try_variant_get(value, "$", "timestamp_ntz")
-    return (
-        F.when(kind.isin("DOUBLE", "FLOAT"), double_text(F.try_variant_get(value, "$", "double")))
-        .when(kind == "TIMESTAMP", rfc3339(stamp, T.TimestampType()))
-        .when(kind == "TIMESTAMP_NTZ", rfc3339(local, T.TimestampNTZType()))
-        .when(kind == "BINARY", hex_text(F.try_variant_get(value, "$", "binary")))
-        .otherwise(F.try_variant_get(value, "$", "string"))
-    )
-
-
-def render_variant(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
-    """Cell text of a VARIANT: arrays as ``[a,b]``, objects as JSON text, scalars as themselves."""
-    items = dt.as_array(value)
-    if depth == 0:
-        listed = dt.too_deep(dt.DEFAULT_DEPTH)
-    else:
-        cells = F.transform(items, lambda x: F.coalesce(render_variant(x, depth - 1), F.lit("")))
-        listed = F.concat(F.lit("["), F.array_join(cells, ","), F.lit("]"))
-    return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit(None).cast("string"))
-        .when(items.isNotNull(), listed)
-        .when(dt.as_object(value).isNotNull(), F.to_json(value))
-        .otherwise(variant_scalar_text(value))
-    )

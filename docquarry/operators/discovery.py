@@ -32,8 +32,10 @@ def _variant_leaves(value: Column, prefix: Column | None, depth: int) -> Column:
 
     def leaves(entry: Column) -> Column:
         path, inner = _dotted(prefix, entry["key"]), entry["value"]
-        deeper = dt.too_deep(dt.DEFAULT_DEPTH) if depth == 1 else _variant_leaves(inner, path, depth - 1)
-        return F.when(dt.as_object(inner).isNotNull(), deeper).otherwise(F.array(path))
+        if depth == 1:
+            return F.when(dt.as_object(inner).isNotNull(), dt.too_deep(dt.DEFAULT_DEPTH)).otherwise(F.array(path))
+        # The cast that tests for an object is the one that opens it.
+        return F.coalesce(_variant_leaves(inner, path, depth - 1), F.array(path))
 
     return F.flatten(F.transform(F.map_entries(dt.as_object(value)), leaves))
 

@@ -4,12 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
 from docquarry.functions.values import render
+from docquarry.functions.variants import is_simple, render_variants, simple_text
 from docquarry.operators.manifest import Manifest
-from docquarry.operators.paths import lookup
+from docquarry.operators.paths import Found, lookup
+
+_VALUE = "__docquarry_value"
+_JSON = "__docquarry_json"
+_WALKED = "__docquarry_walked"
+
+
+def _open_variants(df: DataFrame, found: list[Found], depth: int) -> tuple[DataFrame, dict[int, Column]]:
+    """Select the looked-up values once; return the text column of each VARIANT cell.
+
+    Scalars and objects get a short expression of their own.  Cells that have to be walked (arrays)
+    share one copy of the walking expression, so a wide manifest does not grow the plan.
+    """
+    variants = [i for i, f in enumerate(found) if isinstance(f.dtype, T.VariantType)]
+    if not variants:
+        return df, {}
+    values = df.select(*[f.value.alias(f"{_VALUE}{i}") for i, f in enumerate(found) if f.dtype is not None])
+    texts = {f"{_JSON}{i}": F.to_json(F.col(f"{_VALUE}{i}")) for i in variants}
+    values = values.withColumns(texts)
+    pairs = [(F.col(f"{_VALUE}{i}"), F.col(f"{_JSON}{i}")) for i in variants]
+    hard = [F.when(~is_simple(v, j), v) for v, j in pairs]
+    walked = values.withColumn(_WALKED, render_variants(hard, depth))
+    cells = {
+        i: F.when(is_simple(v, j), simple_text(v, j)).otherwise(F.get(F.col(_WALKED), k))
+        for k, (i, (v, j)) in enumerate(zip(variants, pairs))
+    }
+    return walked, cells
 
 
 def flatten(
@@ -28,11 +55,16 @@ def flatten(
     if missing not in ("null", "empty"):
         raise ValueError("missing must be 'null' or 'empty'")
     paths = manifest.paths if isinstance(manifest, Manifest) else Manifest.of(manifest).paths
+    found = [lookup(df, path, doc) for path in paths]
+    source, mixed = _open_variants(df, found, depth)
     cells = []
-    for path in paths:
-        found = lookup(df, path, doc)
-        cell = F.lit(None).cast("string") if found.dtype is None else render(found.value, found.dtype, depth)
-        if missing == "empty":
-            cell = F.coalesce(cell, F.lit(""))
-        cells.append(cell.cast("string").alias(path))
-    return df.select(*cells)
+    for i, (path, item) in enumerate(zip(paths, found)):
+        if item.dtype is None:
+            cell = F.lit(None)
+        elif i in mixed:
+            cell = mixed[i]
+        else:
+            cell = render(F.col(f"{_VALUE}{i}") if mixed else item.value, item.dtype, depth)
+        cell = cell.cast("string")
+        cells.append((F.coalesce(cell, F.lit("")) if missing == "empty" else cell).alias(path))
+    return source.select(*cells)

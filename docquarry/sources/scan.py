@@ -117,3 +117,13 @@ def folder_marks(spark: SparkSession, path: str, prefix: str) -> DataFrame:
             F.bit_xor(F.xxhash64("name", "length")).alias("digest"),
         )
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input one partition for each core.
+
+    A file with a single row group is read by one task however many cores there are.  Inputs that
+    already have enough partitions, which is every large one, come back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
