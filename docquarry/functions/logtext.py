@@ -32,38 +32,47 @@ URI_SCHEMES = ("mongodb://", "mongodb+srv://")
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
 
 
-def _mentions(message: Column, words) -> Column:
+def _rule(message: Column, word_lists) -> Column:
+    """Number of the first rule with a word in the message; the count of rules when none has."""
     lowered = F.lower(message)
-    return functools.reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])
+    chain = None
+    for number, words in enumerate(word_lists):
+        hit = functools.reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])
+        chain = F.when(hit, number) if chain is None else chain.when(hit, number)
+    return chain.otherwise(len(word_lists))
 
 
-def _first_match(message: Column, pairs, default) -> Column:
-    head, *rest = [(_mentions(message, words), F.lit(result)) for words, result in pairs]
-    chain = F.when(*head)
-    for condition, result in rest:
-        chain = chain.when(condition, result)
-    return F.when(message.isNotNull(), chain.otherwise(F.lit(default)))
+def _by_rule(message: Column, word_lists, results, dtype: str) -> Column:
+    """Result of the deciding rule.  Columns that share a message share its rule number in the plan."""
+    table = F.array(*[F.lit(r).cast(dtype) for r in results])
+    return F.when(message.isNotNull(), F.get(table, _rule(message, word_lists)))
+
+
+def _error_attribute(message: Column, place: int, dtype: str) -> Column:
+    results = [rule[place] for rule in ERROR_RULES] + [UNKNOWN_ERROR[place - 1]]
+    return _by_rule(message, [rule[0] for rule in ERROR_RULES], results, dtype)
 
 
 def error_category(message: Column) -> Column:
-    return _first_match(message, [(r[0], r[1]) for r in ERROR_RULES], UNKNOWN_ERROR[0])
+    return _error_attribute(message, 1, "string")
 
 
 def error_severity(message: Column) -> Column:
-    return _first_match(message, [(r[0], r[2]) for r in ERROR_RULES], UNKNOWN_ERROR[1])
+    return _error_attribute(message, 2, "string")
 
 
 def error_retryable(message: Column) -> Column:
-    return _first_match(message, [(r[0], r[3]) for r in ERROR_RULES], UNKNOWN_ERROR[2])
+    return _error_attribute(message, 3, "boolean")
 
 
 def error_retry_delay(message: Column) -> Column:
     """Seconds to wait before a retry, NULL when the error is not retryable."""
-    return _first_match(message, [(r[0], r[4]) for r in ERROR_RULES], UNKNOWN_ERROR[3]).cast("int")
+    return _error_attribute(message, 4, "int")
 
 
 def exit_code(message: Column) -> Column:
-    return _first_match(message, EXIT_RULES, OPERATIONAL_FAILURE)
+    codes = [code for _, code in EXIT_RULES] + [OPERATIONAL_FAILURE]
+    return _by_rule(message, [words for words, _ in EXIT_RULES], codes, "int")
 
 
 def valid_uri(text: Column) -> Column:

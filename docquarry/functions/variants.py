@@ -11,14 +11,20 @@ from pyspark.sql import Column, functions as F, types as T
 
 from docquarry.functions import types as dt
 
-_NO_TEXT = "string"
 _NO_VALUE = "variant"
+# Fixed value: text that JSON writes between quotes without any escape.
+_PLAIN_TEXT = r"^[ !#-\[\]-~]*$"
+
+
+def _quoted(text: Column, value: Column) -> Column:
+    """JSON form of a string; the JSON writer is called only where something has to be escaped."""
+    return F.when(text.rlike(_PLAIN_TEXT), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.to_json(value))
 
 
 def _token(mark: Column, value: Column | None = None) -> Column:
     leaf = F.lit(None).cast(_NO_VALUE) if value is None else value
-    json = F.lit(None).cast(_NO_TEXT) if value is None else F.to_json(value)
-    return F.struct(mark.alias("mark"), leaf.alias("leaf"), json.alias("json"))
+    kind = F.lit(None).cast("string") if value is None else F.schema_of_variant(value)
+    return F.struct(mark.alias("mark"), leaf.alias("leaf"), kind.alias("kind"))
 
 
 def _part(mark: Column, item: Column | None = None) -> Column:
@@ -41,7 +47,8 @@ def _parts(value: Column, split_objects: bool) -> Column:
         return items
 
     def field(entry: Column, position: Column) -> Column:
-        return _part(F.concat(_comma(position), F.to_json(entry["key"].cast("variant")), F.lit(":")), entry["value"])
+        key = entry["key"]
+        return _part(F.concat(_comma(position), _quoted(key, key.cast("variant")), F.lit(":")), entry["value"])
 
     return F.coalesce(items, _bracketed("{", F.transform(F.map_entries(dt.as_object(value)), field), "}"))
 
@@ -66,34 +73,43 @@ def tokens(value: Column, depth: int, split_objects: bool, limit: int | None = N
 
 
 def join_tokens(laid_out: Column, leaf_text) -> Column:
-    """Concatenate tokens, writing each leaf with ``leaf_text(value, json)``; a NULL text is empty."""
+    """Concatenate tokens, writing each leaf with ``leaf_text(value, kind)``; a NULL text is empty."""
 
     def text(token: Column) -> Column:
-        written = F.coalesce(leaf_text(token["leaf"], token["json"]), F.lit(""))
+        written = F.coalesce(leaf_text(token["leaf"], token["kind"]), F.lit(""))
         return F.when(token["leaf"].isNull(), token["mark"]).otherwise(written)
 
     return F.array_join(F.transform(laid_out, text), "")
 
 
-def scalar_text(value: Column, json: Column) -> Column:
-    """Cell text of a VARIANT that is no array; NULL for a VARIANT null."""
-    from docquarry.functions.values import hex_text, plain_number_text, rfc3339
+def needs_walk(kind: Column, text: Column) -> Column:
+    """True where the cell text of a VARIANT is not just its cast to string."""
+    padded = text.endswith("0") & text.contains(".") & kind.startswith("DECIMAL")
+    return kind.rlike("^(ARRAY|TIMESTAMP|BINARY|DOUBLE|FLOAT)") | padded
+
+
+def _cast_text(value: Column, kind: Column) -> Column:
+    """Text of a VARIANT that prints as its cast; NULL for a VARIANT null."""
+    from docquarry.functions.values import plain_number_text
 
-    kind = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
-    quoted = (
-        F.when(kind == "STRING", text)
-        .when(kind == "TIMESTAMP", rfc3339(F.try_variant_get(value, "$", "timestamp"), T.TimestampType()))
-        .when(kind == "TIMESTAMP_NTZ", rfc3339(F.try_variant_get(value, "$", "timestamp_ntz"), T.TimestampNTZType()))
-        .when(kind == "BINARY", hex_text(F.try_variant_get(value, "$", "binary")))
-        .when(kind.isin("DOUBLE", "FLOAT"), F.regexp_replace(text, "Infinity", "inf"))
+    return (
+        F.when(kind == "VOID", F.lit(None).cast("string"))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.replace(plain_number_text(text), F.lit("Infinity"), F.lit("inf")))
         .otherwise(text)
     )
+
+
+def scalar_text(value: Column, kind: Column) -> Column:
+    """Cell text of a VARIANT that is no array; NULL for a VARIANT null."""
+    from docquarry.functions.values import hex_text, rfc3339
+
+    zoned, local = F.try_variant_get(value, "$", "timestamp"), F.try_variant_get(value, "$", "timestamp_ntz")
     return (
-        F.when(json.startswith('"'), quoted)
-        .when(json.startswith("{") | json.isin("true", "false"), json)
-        .when(json == "null", F.lit(None).cast("string"))
-        .otherwise(plain_number_text(json))
+        F.when(kind == "TIMESTAMP", rfc3339(zoned, T.TimestampType()))
+        .when(kind == "TIMESTAMP_NTZ", rfc3339(local, T.TimestampNTZType()))
+        .when(kind == "BINARY", hex_text(F.try_variant_get(value, "$", "binary")))
+        .otherwise(_cast_text(value, kind))
     )
 
 
@@ -105,24 +121,6 @@ def render_variant(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
     )
 
 
-def is_simple(value: Column, json: Column) -> Column:
-    """True for a VARIANT whose text needs no walk: an object, a number, a boolean, a string or null."""
-    quoted, listed = json.startswith('"'), json.startswith("[")
-    return ~listed & (~quoted | (F.schema_of_variant(value) == "STRING"))
-
-
-def simple_text(value: Column, json: Column) -> Column:
-    """Text of a simple VARIANT, small enough to be repeated for every cell."""
-    from docquarry.functions.values import plain_number_text
-
-    return (
-        F.when(json.startswith('"'), F.try_variant_get(value, "$", "string"))
-        .when(json == "null", F.lit(None).cast("string"))
-        .when(json.rlike("^[-0-9]"), plain_number_text(json))
-        .otherwise(json)
-    )
-
-
 def render_variants(values: list[Column], depth: int = dt.DEFAULT_DEPTH) -> Column:
     """Cell texts of several VARIANTs as one array, from a single copy of the expression."""
     return F.transform(F.array(*values), lambda x: render_variant(x, depth))
@@ -136,16 +134,17 @@ def canonical_json(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
     """
     from docquarry.functions.values import canonical_double_text
 
-    def written(leaf: Column, json: Column) -> Column:
-        kind = F.schema_of_variant(leaf)
+    def written(leaf: Column, kind: Column) -> Column:
+        text = F.try_variant_get(leaf, "$", "string")
         whole = F.try_variant_get(leaf, "$", "bigint")
-        number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
         int_key = F.when(whole.between(-(2**31), 2**31 - 1), "$numberInt").otherwise("$numberLong")
+        number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
         wrapped = lambda key, text: F.concat(F.lit('{"'), key, F.lit('":"'), text, F.lit('"}'))
         return (
-            F.when(kind == "BIGINT", wrapped(int_key, whole.cast("string")))
+            F.when(kind == "BIGINT", wrapped(int_key, text))
+            .when(kind == "STRING", _quoted(text, leaf))
             .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), wrapped(F.lit("$numberDouble"), number))
-            .otherwise(json)
+            .otherwise(F.to_json(leaf))
         )
 
     return F.when(value.isNotNull(), join_tokens(tokens(value, depth, split_objects=True), written))

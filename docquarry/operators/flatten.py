@@ -8,33 +8,35 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
 from docquarry.functions.values import render
-from docquarry.functions.variants import is_simple, render_variants, simple_text
+from docquarry.functions.variants import needs_walk, render_variants
 from docquarry.operators.manifest import Manifest
 from docquarry.operators.paths import Found, lookup
 
 _VALUE = "__docquarry_value"
-_JSON = "__docquarry_json"
+_KIND = "__docquarry_kind"
+_TEXT = "__docquarry_text"
 _WALKED = "__docquarry_walked"
 
 
 def _open_variants(df: DataFrame, found: list[Found], depth: int) -> tuple[DataFrame, dict[int, Column]]:
     """Select the looked-up values once; return the text column of each VARIANT cell.
 
-    Scalars and objects get a short expression of their own.  Cells that have to be walked (arrays)
-    share one copy of the walking expression, so a wide manifest does not grow the plan.
+    The text of most cells is a plain cast.  Cells that need more (arrays, doubles, instants) share one
+    copy of the walking expression, so a wide manifest does not multiply it.
     """
     variants = [i for i, f in enumerate(found) if isinstance(f.dtype, T.VariantType)]
     if not variants:
         return df, {}
     values = df.select(*[f.value.alias(f"{_VALUE}{i}") for i, f in enumerate(found) if f.dtype is not None])
-    texts = {f"{_JSON}{i}": F.to_json(F.col(f"{_VALUE}{i}")) for i in variants}
-    values = values.withColumns(texts)
-    pairs = [(F.col(f"{_VALUE}{i}"), F.col(f"{_JSON}{i}")) for i in variants]
-    hard = [F.when(~is_simple(v, j), v) for v, j in pairs]
-    walked = values.withColumn(_WALKED, render_variants(hard, depth))
+    value = {i: F.col(f"{_VALUE}{i}") for i in variants}
+    texts = {f"{_TEXT}{i}": F.try_variant_get(v, "$", "string") for i, v in value.items()}
+    kinds = {f"{_KIND}{i}": F.schema_of_variant(v) for i, v in value.items()}
+    values = values.withColumns({**texts, **kinds})
+    hard = {i: needs_walk(F.col(f"{_KIND}{i}"), F.col(f"{_TEXT}{i}")) for i in variants}
+    # Only the hard values are handed to the walking expression, the others as NULL.
+    walked = values.withColumn(_WALKED, render_variants([F.when(hard[i], value[i]) for i in variants], depth))
     cells = {
-        i: F.when(is_simple(v, j), simple_text(v, j)).otherwise(F.get(F.col(_WALKED), k))
-        for k, (i, (v, j)) in enumerate(zip(variants, pairs))
+        i: F.when(hard[i], F.get(F.col(_WALKED), k)).otherwise(F.col(f"{_TEXT}{i}")) for k, i in enumerate(variants)
     }
     return walked, cells
 

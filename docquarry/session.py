@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Methods above this size are not compiled by the JVM's JIT; wide manifests can reach it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
