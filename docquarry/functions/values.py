@@ -14,7 +14,6 @@ from docquarry.functions import types as dt
 # Fixed value: fraction digits that write out the smallest double in full.
 DOUBLE_FRACTION_DIGITS = 345
 _NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-_LTZ_EPOCH = "TIMESTAMP_LTZ'1970-01-01 00:00:00Z'"
 # The first and the first no longer writable instant of RFC 3339 (years 0000 to 9999),
 # and the last such millisecond.
 _RFC3339_FROM = "TIMESTAMP_NTZ'0000-01-01 00:00:00'"
@@ -70,9 +69,12 @@ def decimal_text(value: Column, dtype: T.DecimalType) -> Column:
     if dtype.scale == 0:
         return value.cast("string")
     text = value.cast("string")
-    # Outside ANSI mode Spark prints small decimals with an exponent; %f is exact for decimals.
-    positional = F.when(text.contains("E"), F.format_string(f"%.{dtype.scale}f", value)).otherwise(text)
-    return _without_padding(positional)
+    # Outside ANSI mode Spark prints decimals below 1e-6 with an exponent: -1.23E-10.
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    digits = F.translate(F.substring_index(text, "E", 1), "-.", "")
+    zeros = F.repeat(F.lit("0"), F.substring_index(text, "E-", -1).try_cast("int") - 1)
+    tiny = F.concat(sign, F.lit("0."), zeros, digits)
+    return _without_padding(F.when(text.contains("E"), tiny).otherwise(text))
 
 
 def hex_text(value: Column) -> Column:
@@ -101,8 +103,7 @@ def rfc3339(value: Column, dtype: T.DataType) -> Column:
     elif isinstance(dtype, T.DateType):
         wall = value.cast("timestamp_ntz")
     else:
-        micros = F.timestamp_diff("MICROSECOND", F.expr(_LTZ_EPOCH), value)
-        wall = F.timestamp_add("MICROSECOND", micros, F.expr(_NTZ_EPOCH))
+        wall = F.timestamp_add("MICROSECOND", F.unix_micros(value), F.expr(_NTZ_EPOCH))
     text = F.translate(wall.cast("string"), " ", "T")
     iso = F.when(F.length(text) == 19, F.concat(text, F.lit(".000Z"))).otherwise(
         F.concat(F.rpad(text, 23, "0"), F.lit("Z"))

@@ -115,16 +115,16 @@ def _list_payload(array: pa.Array) -> pa.Array:
 
 
 def _map_payload(array: pa.Array) -> pa.Array:
-    lengths = _list_lengths(array)
-    # A map is stored as a list of entries; null maps have length 0 and own no entries.
     offsets = array.offsets.to_numpy()
+    spans = np.diff(offsets)
+    valid = array.is_valid().to_numpy(zero_copy_only=False)
     window = slice(int(offsets[0]), int(offsets[-1]))
     keys, items = array.keys[window], array.items[window]
-    spans = np.diff(offsets)
-    if not np.array_equal(spans, lengths):
-        keep = pa.array(np.repeat(lengths == spans, spans))
+    if not valid.all():
+        # Entries behind a null map are not part of the data.
+        keep = pa.array(np.repeat(valid, spans))
         keys, items = keys.filter(keep), items.filter(keep)
-    return _wrap_document(_joined_lists(_elements(_cstring(keys), items), lengths))
+    return _wrap_document(_joined_lists(_elements(_cstring(keys), items), np.where(valid, spans, 0)))
 
 
 def _struct_body(array: pa.StructArray) -> pa.Array:
