@@ -21,6 +21,8 @@ from docquarry.sinks.publish import FileOps
 FORMATS = ("jsonl", "json", "csv", "parquet", "bson")
 COMPRESSIONS = ("none", "gzip")
 
+# Size of a part file without content, by compression.
+BLANK_BYTES = {"none": 0, "gzip": 20}
 # CSV in the common quoting style; a cell is quoted only when it has to be.
 CSV_OPTIONS = {
     "header": "true",
@@ -68,15 +70,11 @@ def write_json_array(texts: DataFrame, path: str, compression: str = "none") ->
     lines.write.option("compression", compression).option("maxRecordsPerFile", "0").text(path)
     ops = FileOps(spark, path)
     # A task without rows leaves no file, except that a run whose first task is empty leaves a blank one.
-    if compression == "none":
-        full = [name for name, size in ops.data_files(path) if size]
-        for name, size in ops.data_files(path):
-            if not size:
-                ops.remove(f"{path}/{name}")
-        empty = not full
-    else:
-        empty = spark.read.text(path).isEmpty()
-    if empty:
+    files = ops.data_files(path)
+    blank = [name for name, size in files if size <= BLANK_BYTES[compression]]
+    for name in blank:
+        ops.remove(f"{path}/{name}")
+    if len(blank) == len(files):
         nothing = spark.createDataFrame([("[",), ("",), ("]",)], "value string").coalesce(1)
         nothing.write.mode("overwrite").option("compression", compression).text(path)
 

@@ -119,11 +119,17 @@ def folder_marks(spark: SparkSession, path: str, prefix: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
+#: Inputs estimated above this size are never redistributed.
+SPREAD_BYTES = 256 << 20
+
+
+def spread(df: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
     """Give a small input one partition for each core.
 
-    A file with a single row group is read by one task however many cores there are.  Inputs that
-    already have enough partitions, which is every large one, come back unchanged.
+    A file with a single row group is read by one task however many cores there are.  The size is
+    Catalyst's estimate, so nothing runs to decide this; every large input comes back unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -123,7 +123,8 @@ def test_repeated_keys_abort(spark, out):
         scan(spark, out("j"), "jsonl").collect()
 
 
-def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 16)
-    assert spread(many) is many
+def test_small_inputs_are_spread_and_large_ones_left_alone(spark, sf_dir):
+    lines = scan(spark, f"{sf_dir}/lineitem.parquet")
+    sizes = spread(lines).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    assert spread(lines, max_bytes=1000) is lines

@@ -76,10 +76,14 @@ def test_json_array_separators(spark, out):
     assert read_all(out("a")) == b'[\n{"a":1},\n{"a":2}\n]\n'
 
 
-def test_json_array_with_empty_leading_partition(spark, out):
-    df = spark.range(0, 100, 1, 4).filter("id >= 90")
-    write(encode(df, "json", json_mode="plain"), "json", out("a"))
-    assert sorted(d["id"] for p in parts(out("a")) for d in json.load(open(p))) == list(range(90, 100))
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+@pytest.mark.parametrize("first", [90, 100])
+def test_json_array_with_empty_partitions(spark, out, compression, first):
+    df = spark.range(0, 100, 1, 4).filter(f"id >= {first}")
+    write(encode(df, "json", json_mode="plain"), "json", out("a"), compression)
+    open_part = gzip.open if compression == "gzip" else open
+    assert parts(out("a"))
+    assert sorted(d["id"] for p in parts(out("a")) for d in json.load(open_part(p))) == list(range(first, 100))
 
 
 def test_bson_of_every_type(spark):
