@@ -76,9 +76,9 @@ REGISTERED = (
     "render_double",
     "json_canonical",
     "json_canonical_mixed",
-    "infer_manifest_rows",
-    "classify_errors",
-    "error_stats_log",
+    "infer_manifest",
+    "classify_error",
+    "error_stats",
     "run_report",
     "stream_resume",
 )

@@ -142,7 +142,7 @@ _SIZE_TEXT = (
 SQL: dict[str, str] = {
     "scan_collection": "SELECT * FROM customer",
     "sample_docs": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1000",
-    "scan_snapshot_counts": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL",
+    "scan_snapshot": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL",
     "filter_all": _orders("TRUE"),
     "filter_eq": _orders("o_orderstatus = 'F'"),
     "filter_gte": _orders("o_totalprice >= 400000"),
@@ -190,23 +190,23 @@ SQL: dict[str, str] = {
     "limit_large": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem ORDER BY "
     "l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20000 OFFSET 1000",
     "page_topk": "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 100 OFFSET 20",
-    "keyset_next_page": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 500 ORDER BY o_orderkey LIMIT 900",
+    "keyset_page": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 500 ORDER BY o_orderkey LIMIT 900",
     "keyset_resume_union": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "count_exact": "SELECT LEAST(GREATEST(count(*) - 100, 0), 5000) AS n FROM orders WHERE o_orderstatus = 'O'",
-    "discover_paths_mixed": f"SELECT DISTINCT path FROM ({_LEAVES})",
+    "discover_paths": f"SELECT DISTINCT path FROM ({_LEAVES})",
     "discover_paths_typed": "SELECT DISTINCT unnest(['_id', 'customer.key', 'customer.ref', 'status', 'total', 'amount', "
     "'placed', 'tags', 'raw', 'shard', 'closed']) AS path FROM orders",
-    "infer_manifest_rows": "SELECT DISTINCT path, 'string' AS kind, TRUE AS nullable, "
+    "infer_manifest": "SELECT DISTINCT path, 'string' AS kind, TRUE AS nullable, "
     f"(SELECT count(*) FROM events) AS sample_size FROM ({_LEAVES})",
-    "missing_fields_mixed": "SELECT position, path FROM (VALUES (0, 'user.id'), (1, 'user'), (2, 'user.phone'), "
+    "missing_fields": "SELECT position, path FROM (VALUES (0, 'user.id'), (1, 'user'), (2, 'user.phone'), "
     "(3, 'tag.name'), (4, 'extra'), (5, 'extra.note'), (6, 'no.such.path')) AS w(position, path) "
     f"WHERE path NOT IN (SELECT path FROM ({_LEAVES}))",
-    "path_coverage_mixed": f"SELECT path, count(*) AS documents FROM ({_LEAVES}) GROUP BY path",
+    "path_coverage": f"SELECT path, count(*) AS documents FROM ({_LEAVES}) GROUP BY path",
     "path_coverage_typed": "SELECT path, count(value) AS documents FROM (UNPIVOT (SELECT "
     "COLUMNS(*)::VARCHAR FROM lineitem) ON COLUMNS(*) INTO NAME path VALUE value) GROUP BY path",
-    "export_stats_jsonl": f"SELECT count(*) AS documents_exported, CAST(sum(strlen({_PLAIN_ORDER})) AS BIGINT) AS "
+    "export_stats": f"SELECT count(*) AS documents_exported, CAST(sum(strlen({_PLAIN_ORDER})) AS BIGINT) AS "
     f"bytes_written, CAST(sum(strlen({_PLAIN_ORDER})) AS DOUBLE) / count(*) AS avg_document_size FROM orders",
-    "error_stats_log": f"SELECT 'category' AS dimension, {_CATEGORY} AS value, count(*) AS errors FROM events GROUP BY 2 "
+    "error_stats": f"SELECT 'category' AS dimension, {_CATEGORY} AS value, count(*) AS errors FROM events GROUP BY 2 "
     f"UNION ALL SELECT 'severity' AS dimension, {_SEVERITY} AS value, count(*) AS errors FROM events GROUP BY 2",
     "render_double": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, "
     + ", ".join(f"{_digits(c)} AS {c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
@@ -235,17 +235,17 @@ SQL: dict[str, str] = {
         CASE WHEN {_digits('value')} LIKE '%.%' THEN {_digits('value')} ELSE {_digits('value')} || '.0' END AS value,
         CASE WHEN {_TAG_IS_DOC} THEN CAST(event_id % 10 AS VARCHAR) END AS tag_level,
         CASE WHEN {_TAG_IS_LIST} THEN CAST(event_id % 10 AS VARCHAR) END AS tag_item FROM events""",
-    "row_digests": "SELECT c_custkey, sha256("
+    "row_digest": "SELECT c_custkey, sha256("
     + " || ".join(_cell(c) for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
     + ") AS sha256 FROM customer",
-    "format_bytes_sizes": f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {_SIZE_TEXT} AS size_text FROM lineitem",
-    "valid_uris": f"SELECT id, starts_with(text, 'mongodb://') OR starts_with(text, 'mongodb+srv://') AS valid FROM "
+    "format_bytes": f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {_SIZE_TEXT} AS size_text FROM lineitem",
+    "valid_uri": f"SELECT id, starts_with(text, 'mongodb://') OR starts_with(text, 'mongodb+srv://') AS valid FROM "
     f"(SELECT event_id AS id, {_MESSAGE} AS text FROM events UNION ALL SELECT page_id AS id, url AS text FROM pages)",
-    "mask_uris": "SELECT event_id, CASE WHEN event_id % 8 = 6 THEN 'mongodb://***@host' || user_id || ':27017/db refused' "
+    "mask_uri": "SELECT event_id, CASE WHEN event_id % 8 = 6 THEN 'mongodb://***@host' || user_id || ':27017/db refused' "
     f"ELSE {_MESSAGE} END AS masked FROM events",
-    "classify_errors": f"SELECT event_id, {_CATEGORY} AS category, {_SEVERITY} AS severity, {_RETRYABLE} AS retryable, "
+    "classify_error": f"SELECT event_id, {_CATEGORY} AS category, {_SEVERITY} AS severity, {_RETRYABLE} AS retryable, "
     f"{_DELAY} AS retry_delay FROM events",
-    "exit_codes": f"SELECT event_id, {_EXIT} AS code FROM events",
+    "exit_code": f"SELECT event_id, {_EXIT} AS code FROM events",
     "sink_jsonl": "SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus AS status, "
     "CAST(o_custkey % 100 AS VARCHAR) AS shard FROM orders",
     "sink_json_array": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
@@ -260,7 +260,7 @@ SQL: dict[str, str] = {
     "run_report": "SELECT 'orders' AS collection, 'jsonl' AS format, 'plain' AS json_mode, 'best-effort' AS consistency, "
     "count(*) AS documents_expected, count(*) AS documents_exported, "
     f"CAST(sum(strlen({_PLAIN_ORDER}) + 1) AS BIGINT) AS bytes_written FROM orders WHERE o_orderstatus = 'F'",
-    "output_digest_bytes": f"SELECT CAST(sum(strlen({_PLAIN_ORDER}) + 1) AS BIGINT) AS bytes FROM orders",
+    "output_digest": f"SELECT CAST(sum(strlen({_PLAIN_ORDER}) + 1) AS BIGINT) AS bytes FROM orders",
     "resume_pages": "SELECT o_orderkey, o_orderstatus FROM orders",
     "stream_resume": "SELECT event_id, user_id, event_type FROM events",
     "stream_progress": "SELECT batch_id, documents, CAST(sum(documents) OVER (ORDER BY batch_id) AS BIGINT) AS "

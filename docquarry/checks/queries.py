@@ -49,9 +49,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        _QUERIES[name] = function
+        return function
+
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -82,18 +85,18 @@ def _flat_names(df: DataFrame) -> DataFrame:
 # ---- scans ------------------------------------------------------------------------------------
 
 
-@query
+@query("scan_collection")
 def scan_collection(spark, sf):
     return table(spark, sf, "customer")
 
 
-@query
+@query("sample_docs")
 def sample_docs(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     return sample(orders, 1000, "o_orderkey")
 
 
-@query
+@query("scan_snapshot")
 def scan_snapshot_counts(spark, sf):
     snapshot = scan_snapshot(spark, f"{sf}/lineitem.parquet")
     snapshot.verify()
@@ -145,13 +148,13 @@ _QUERIES["filter_exists"] = _mixed_filter({"user.type": {"$exists": True}, "tag.
 _QUERIES["filter_nested_number"] = _mixed_filter({"$or": [{"value": {"$lt": 5}}, {"tag.level": 7}]})
 
 
-@query
+@query("filter_multi")
 def filter_multi(spark, sf):
     found = where(table(spark, sf, "events"), {"event_type": "purchase", "value": {"$gte": 10.0}})
     return found.select("event_id", "user_id", "event_type", "value", "props")
 
 
-@query
+@query("filter_regex")
 def filter_regex(spark, sf):
     found = where(table(spark, sf, "documents"), {"text": {"$regex": "licen[cs]e", "$options": "i"}})
     return found.select("doc_id", "lang", "source")
@@ -160,41 +163,41 @@ def filter_regex(spark, sf):
 # ---- projections and paths --------------------------------------------------------------------
 
 
-@query
+@query("project_fields")
 def project_fields(spark, sf):
     return project(table(spark, sf, "customer"), "c_name, c_acctbal,,", key="c_custkey")
 
 
-@query
+@query("project_nested")
 def project_nested(spark, sf):
     kept = project(order_documents(spark, sf), ["customer.key", "status"])
     return kept.select("_id", F.col("customer.key").alias("customer_key"), "status")
 
 
-@query
+@query("project_variant")
 def project_variant(spark, sf):
     kept = project(mixed_documents(spark, sf), "user.type,tag.name,props", doc="doc")
     return kept.select("_id", F.to_json("doc").alias("doc"))
 
 
-@query
+@query("path_lookup")
 def path_lookup(spark, sf):
     docs = mixed_documents(spark, sf)
     paths = {"user_id": "user.id", "tag_name": "tag.name", "deep": "tag.name.more", "gone": "no.such.path"}
     return docs.select("_id", *[get_path(docs, p, "doc").cast("string").alias(n) for n, p in paths.items()])
 
 
-@query
+@query("flatten_csv")
 def flatten_csv(spark, sf):
     return _flat_names(flatten(mixed_documents(spark, sf), MIXED_PATHS, "empty", "doc"))
 
 
-@query
+@query("flatten_parquet")
 def flatten_parquet(spark, sf):
     return _flat_names(flatten(mixed_documents(spark, sf), MIXED_PATHS, "null", "doc"))
 
 
-@query
+@query("flatten_typed")
 def flatten_typed(spark, sf):
     paths = ("_id", "customer.key", "customer.ref", "status", "amount", "placed", "tags", "tags.x", "raw", "closed")
     return _flat_names(flatten(order_documents(spark, sf), paths))
@@ -203,31 +206,31 @@ def flatten_typed(spark, sf):
 # ---- sort, limit, paging, counts --------------------------------------------------------------
 
 
-@query
+@query("sort_multi")
 def sort_multi(spark, sf):
     ordered = sort_docs(table(spark, sf, "orders"), "o_orderstatus:1,o_totalprice:desc")
     return ordered.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-@query
+@query("sort_nulls")
 def sort_nulls(spark, sf):
     """The first page of a sort whose leading key is missing or null in part of the documents."""
     docs = page(mixed_documents(spark, sf), "user.type:1,event_id:1", limit=5000, doc="doc")
     return docs.select("_id", get_path(docs, "user.type", "doc").cast("string").alias("user_type"))
 
 
-@query
+@query("skip_docs")
 def skip_docs(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return page(orders, "o_totalprice:-1,o_orderkey:1", skip=5000)
 
 
-@query
+@query("limit_docs")
 def limit_docs(spark, sf):
     return page(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey:1", limit=500)
 
 
-@query
+@query("limit_large")
 def limit_large(spark, sf):
     """A page too large for one task: taken by stored position instead of a top-k."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -235,19 +238,19 @@ def limit_large(spark, sf):
     return page(lines, order, skip=1000, limit=20000, small_page=10000)
 
 
-@query
+@query("page_topk")
 def page_topk(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "value")
     return page(events, "value:-1,event_id:1", skip=20, limit=100)
 
 
-@query
+@query("keyset_page")
 def keyset_next_page(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return keyset_page(orders, 500, 1, limit=1000, exported=100, key="o_orderkey")
 
 
-@query
+@query("keyset_resume_union")
 def keyset_resume_union(spark, sf):
     """First page, then everything after its last key: together the whole table, once."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -256,7 +259,7 @@ def keyset_resume_union(spark, sf):
     return first.union(keyset_page(orders, last_id, key="o_orderkey"))
 
 
-@query
+@query("count_exact")
 def count_exact(spark, sf):
     return count_docs(table(spark, sf, "orders"), {"o_orderstatus": "O"}, skip=100, limit=5000)
 
@@ -264,17 +267,17 @@ def count_exact(spark, sf):
 # ---- discovery and statistics -----------------------------------------------------------------
 
 
-@query
+@query("discover_paths")
 def discover_paths_mixed(spark, sf):
     return discover_paths(mixed_documents(spark, sf).select("doc"), "doc")
 
 
-@query
+@query("discover_paths_typed")
 def discover_paths_typed(spark, sf):
     return discover_paths(order_documents(spark, sf))
 
 
-@query
+@query("infer_manifest")
 def infer_manifest_rows(spark, sf):
     manifest = infer_manifest(mixed_documents(spark, sf), doc="doc")
     rows = [(f["path"], f["kind"], f["nullable"], manifest.sample_size) for f in manifest.fields]
@@ -284,28 +287,28 @@ def infer_manifest_rows(spark, sf):
 WANTED = ["user.id", "user", "user.phone", "tag.name", "extra", "extra.note", "no.such.path"]
 
 
-@query
+@query("missing_fields")
 def missing_fields_mixed(spark, sf):
     return missing_fields(mixed_documents(spark, sf), WANTED, "doc")
 
 
-@query
+@query("path_coverage")
 def path_coverage_mixed(spark, sf):
     return path_coverage(mixed_documents(spark, sf), "doc")
 
 
-@query
+@query("path_coverage_typed")
 def path_coverage_typed(spark, sf):
     return path_coverage(table(spark, sf, "lineitem"))
 
 
-@query
+@query("export_stats")
 def export_stats_jsonl(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return export_stats(orders.select(document_json(orders, "plain").alias("text")), "text")
 
 
-@query
+@query("error_stats")
 def error_stats_log(spark, sf):
     return error_stats(log_messages(spark, sf), "message")
 
@@ -313,38 +316,38 @@ def error_stats_log(spark, sf):
 # ---- value rendering --------------------------------------------------------------------------
 
 
-@query
+@query("render_double")
 def render_double(spark, sf):
     lines = table(spark, sf, "lineitem")
     ids = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     return lines.select(*ids, *_rendered(lines, "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
 
 
-@query
+@query("render_scalars")
 def render_scalars(spark, sf):
     docs = order_documents(spark, sf)
     return docs.select(*_rendered(docs, "_id", "status", "amount", "shard", "closed"))
 
 
-@query
+@query("render_binary")
 def render_binary(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.encode("text", "utf-8").alias("bytes"))
     return docs.select("doc_id", *_rendered(docs, "bytes"))
 
 
-@query
+@query("render_array")
 def render_array(spark, sf):
     vectors = table(spark, sf, "embeddings")
     return vectors.select("vec_id", *_rendered(vectors, "embedding"))
 
 
-@query
+@query("render_datetime")
 def render_datetime(spark, sf):
     events = table(spark, sf, "events")
     return events.select("event_id", *_rendered(events, "ts"))
 
 
-@query
+@query("render_nested")
 def render_nested(spark, sf):
     customers = table(spark, sf, "customer").select(
         "c_custkey", F.struct("c_name", "c_nationkey", F.array("c_mktsegment").alias("tags")).alias("doc")
@@ -400,7 +403,7 @@ _QUERIES["json_canonical"] = _json_fields(
 )
 
 
-@query
+@query("json_canonical_mixed")
 def json_canonical_mixed(spark, sf):
     docs = mixed_documents(spark, sf)
     text = docs.select("_id", document_json(docs, "canonical", "doc").alias("text"))
@@ -414,7 +417,7 @@ def json_canonical_mixed(spark, sf):
     return text.select("_id", *[F.get_json_object("text", p).alias(n) for n, p in paths.items()])
 
 
-@query
+@query("row_digest")
 def row_digests(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return customers.select("c_custkey", row_digest(customers).alias("sha256"))
@@ -423,7 +426,7 @@ def row_digests(spark, sf):
 # ---- text rules -------------------------------------------------------------------------------
 
 
-@query
+@query("format_bytes")
 def format_bytes_sizes(spark, sf):
     lines = table(spark, sf, "lineitem")
     size = F.col("l_orderkey") * F.col("l_partkey") * F.col("l_suppkey") * (F.col("l_linenumber") + 1)
@@ -432,7 +435,7 @@ def format_bytes_sizes(spark, sf):
     )
 
 
-@query
+@query("valid_uri")
 def valid_uris(spark, sf):
     logs = log_messages(spark, sf)
     urls = table(spark, sf, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("text"))
@@ -440,13 +443,13 @@ def valid_uris(spark, sf):
     return texts.select("id", valid_uri(F.col("text")).alias("valid"))
 
 
-@query
+@query("mask_uri")
 def mask_uris(spark, sf):
     logs = log_messages(spark, sf)
     return logs.select("event_id", mask_credentials(F.col("message")).alias("masked"))
 
 
-@query
+@query("classify_error")
 def classify_errors(spark, sf):
     message = F.col("message")
     return log_messages(spark, sf).select(
@@ -458,7 +461,7 @@ def classify_errors(spark, sf):
     )
 
 
-@query
+@query("exit_code")
 def exit_codes(spark, sf):
     return log_messages(spark, sf).select("event_id", exit_code(F.col("message")).alias("code"))
 
@@ -466,7 +469,7 @@ def exit_codes(spark, sf):
 # ---- sinks: write, read back ------------------------------------------------------------------
 
 
-@query
+@query("sink_jsonl")
 def sink_jsonl(spark, sf):
     docs, path = order_documents(spark, sf), scratch_path(spark, "jsonl")
     write(encode(docs, "jsonl", json_mode="canonical"), "jsonl", path)
@@ -475,7 +478,7 @@ def sink_jsonl(spark, sf):
     return lines.select(*[F.get_json_object("value", p).alias(n) for n, p in paths.items()])
 
 
-@query
+@query("sink_json_array")
 def sink_json_array(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     path = scratch_path(spark, "json")
@@ -490,7 +493,7 @@ def _read_csv(spark, path, columns):
     return spark.read.options(**options).schema(schema).csv(path)
 
 
-@query
+@query("sink_csv")
 def sink_csv(spark, sf):
     pages, path = table(spark, sf, "pages"), scratch_path(spark, "csv")
     manifest = Manifest.of(["page_id", "url", "html"])
@@ -498,7 +501,7 @@ def sink_csv(spark, sf):
     return _read_csv(spark, path, manifest.paths).select("page_id", "url", F.sha2("html", 256).alias("html_sha256"))
 
 
-@query
+@query("sink_gzip")
 def sink_gzip(spark, sf):
     docs, path = table(spark, sf, "documents"), scratch_path(spark, "csv-gzip")
     manifest = Manifest.of(["doc_id", "lang", "n_chars", "text"])
@@ -507,14 +510,14 @@ def sink_gzip(spark, sf):
     return back.select("doc_id", "lang", "n_chars", F.sha2("text", 256).alias("text_sha256"))
 
 
-@query
+@query("sink_parquet")
 def sink_parquet(spark, sf):
     docs, path = mixed_documents(spark, sf), scratch_path(spark, "parquet")
     write(encode(docs, "parquet", Manifest.of(MIXED_PATHS), doc="doc"), "parquet", path)
     return _flat_names(spark.read.parquet(path))
 
 
-@query
+@query("sink_bson")
 def sink_bson(spark, sf):
     """Bytes of the published binary documents; the oracle adds up their exact lengths."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
@@ -523,7 +526,7 @@ def sink_bson(spark, sf):
     return part_digests(spark, path).agg(F.sum("bytes").alias("bytes"))
 
 
-@query
+@query("bson_documents")
 def bson_documents(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.struct("o_orderpriority").alias("sub"), F.array("o_orderstatus").alias("arr")
@@ -531,7 +534,7 @@ def bson_documents(spark, sf):
     return encode_bson(orders).select(F.hex("bson").alias("bson"))
 
 
-@query
+@query("run_report")
 def run_report(spark, sf):
     spec = ExportSpec(
         output=scratch_path(spark, "report"),
@@ -549,7 +552,7 @@ def run_report(spark, sf):
     )
 
 
-@query
+@query("output_digest")
 def output_digest_bytes(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     path = scratch_path(spark, "digest")
@@ -560,7 +563,7 @@ def output_digest_bytes(spark, sf):
 # ---- resumable and streaming exports ----------------------------------------------------------
 
 
-@query
+@query("resume_pages")
 def resume_pages(spark, sf):
     """Three calls of a paged export, the last one with nothing left to do."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
@@ -600,13 +603,13 @@ def _event_stream(spark, sf, format="jsonl"):
     return export
 
 
-@query
+@query("stream_resume")
 def stream_resume(spark, sf):
     export = _event_stream(spark, sf)
     schema = "event_id long, user_id long, event_type string"
     return spark.read.schema(schema).json(f"{export.spec.output}/batch-*")
 
 
-@query
+@query("stream_progress")
 def stream_progress(spark, sf):
     return _event_stream(spark, sf).progress().select("batch_id", "documents", "documents_total")

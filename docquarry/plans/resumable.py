@@ -14,11 +14,11 @@ import decimal
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from docquarry.operators.filters import typed_literal, where
 from docquarry.operators.paging import after, keyset_page
-from docquarry.operators.paths import get_path
+from docquarry.operators.paths import get_path, lookup
 from docquarry.operators.projection import project
 from docquarry.plans.spec import ExportSpec
 from docquarry.sinks.publish import FileOps, OutputExists, prepare, staged_output, write_small_file
@@ -63,6 +63,19 @@ class Progress:
     last_id: object
 
 
+def key_holder(df: DataFrame, spec: ExportSpec) -> str | None:
+    """Column the key is looked up in: none when the key is a column of its own.
+
+    A key inside a VARIANT may be a number in one document and text in the next; a cursor would then
+    step over documents, so such a key is refused.
+    """
+    holder = None if spec.key in df.columns else spec.doc
+    dtype = lookup(df, spec.key, holder).dtype
+    if dtype is None or isinstance(dtype, T.VariantType):
+        raise ValueError(f"the key {spec.key!r} must be a typed field; select it out of the document first")
+    return holder
+
+
 class Ledger:
     """One small JSON file for each finished step of an export, in a folder of its own.
 
@@ -150,9 +163,8 @@ class Ledger:
         """Publish the documents of one step and record it; doing it twice leaves one copy."""
         target = self.step_path(number)
         seen = Observation()
-        counted = documents.observe(
-            seen, F.count(F.lit(1)).alias("documents"), F.max(get_path(documents, spec.key, spec.doc)).alias("last_id")
-        )
+        key = get_path(documents, spec.key, key_holder(documents, spec))
+        counted = documents.observe(seen, F.count(F.lit(1)).alias("documents"), F.max(key).alias("last_id"))
         if spec.field_list is not None:
             counted = project(counted, spec.field_list, spec.key, spec.doc)
         with staged_output(self.spark, target, overwrite=True) as staged:
@@ -184,14 +196,15 @@ def export_page(df: DataFrame, spec: ExportSpec, page_size: int | None = None) -
     spec.validate()
     if spec.state_dir is None:
         raise ValueError("a resumable export needs a state folder")
+    holder = key_holder(df, spec)
     ledger = Ledger(df.sparkSession, spec.state_dir, spec.output, "page-")
     before = ledger.open(spec)
     remaining = None if spec.limit is None else max(0, spec.limit - before.documents)
     found = where(df, spec.query, spec.doc)
-    if remaining == 0 or (before.last_id is not None and after(found, before.last_id, 1, spec.key, spec.doc).isEmpty()):
+    if remaining == 0 or (before.last_id is not None and after(found, before.last_id, 1, spec.key, holder).isEmpty()):
         return before
     size = remaining if page_size is None else page_size if remaining is None else min(page_size, remaining)
-    rest = keyset_page(found, before.last_id, 1, size, 0, spec.key, spec.doc)
+    rest = keyset_page(found, before.last_id, 1, size, 0, spec.key, holder)
     record = ledger.write_step(before.step, rest, spec)
     last_id = cursor_value(record["last_id"])
     return Progress(

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from docquarry.operators.filters import where
 from docquarry.operators.paging import sort_docs
-from docquarry.plans.resumable import Ledger, Progress
+from docquarry.operators.paths import variant_path
+from docquarry.plans.resumable import Ledger, Progress, key_holder
 from docquarry.plans.spec import ExportSpec
+from docquarry.sources.scan import as_documents
 
 BATCH_PREFIX = "batch-"
 
@@ -23,7 +25,8 @@ BATCH_PREFIX = "batch-"
 class IncrementalExport:
     """An export that adds only what arrived since its last run.
 
-    The source folder must be append-only.  Use the keyset export when a limit, a global order or a
+    The source folder must be append-only.  With ``source_format="jsonl"`` each line is parsed into the
+    VARIANT column the spec's ``doc`` names, and ``schema`` gives the type of the key alone.  Use the keyset export when a limit, a global order or a
     source that rewrites files is involved.
     """
 
@@ -38,6 +41,8 @@ class IncrementalExport:
         self.spec.validate()
         if self.spec.state_dir is None:
             raise ValueError("an incremental export needs a state folder")
+        if self.source_format == "jsonl" and self.spec.doc is None:
+            raise ValueError("JSON lines are read into a document column; name it in the spec")
         if self.spec.limit is not None:
             raise ValueError("an incremental export has no limit; use the keyset export")
 
@@ -47,10 +52,21 @@ class IncrementalExport:
 
     def documents(self) -> DataFrame:
         """The streaming DataFrame of the selected documents."""
-        reader = self.spark.readStream.format(self.source_format).schema(self.schema)
+        text_lines = self.source_format == "jsonl"
+        reader = self.spark.readStream.format("text" if text_lines else self.source_format)
         if self.max_files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_batch)
-        return where(reader.load(self.source), self.spec.query, self.spec.doc)
+        if text_lines:
+            arrived = self._with_key(as_documents(reader.load(self.source), "value", self.spec.doc))
+        else:
+            arrived = reader.schema(self.schema).load(self.source)
+        return where(arrived, self.spec.query, self.spec.doc)
+
+    def _with_key(self, documents: DataFrame) -> DataFrame:
+        """Documents with their key as a typed column; a key of another type fails the batch."""
+        key_type = self.schema[self.spec.key].dataType
+        value = F.variant_get(self.spec.doc, variant_path(self.spec.key.split(".")), key_type.simpleString())
+        return documents.withColumn(self.spec.key, value)
 
     def run(self) -> Progress:
         """Export everything that has arrived and return the totals over all runs."""
@@ -58,7 +74,7 @@ class IncrementalExport:
         mode = ledger.open(self.spec).mode
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            ordered = sort_docs(batch, {self.spec.key: 1}, self.spec.doc)
+            ordered = sort_docs(batch, {self.spec.key: 1}, key_holder(batch, self.spec))
             ledger.write_step(batch_id, ordered, self.spec)
 
         query = (

@@ -7,6 +7,7 @@ from glob import glob
 import pytest
 from pyspark.sql import functions as F
 
+from docquarry.operators import Manifest
 from docquarry.plans import ExportSpec, export_page
 from docquarry.plans import resumable
 from docquarry.plans.resumable import cursor_json, cursor_value
@@ -141,3 +142,28 @@ def test_stream_starts_over_when_its_output_changed(spark, stream):
 def test_stream_has_no_limit(spark, out):
     with pytest.raises(ValueError, match="no limit"):
         IncrementalExport(spark, out("x"), spark.range(0).schema, spec_of(out, limit=5))
+
+
+def test_stream_of_json_lines(spark, out):
+    landing = out("lines")
+    lines = spark.createDataFrame([('{"id":2,"a":{"b":"x"}}',), ('{"id":1}',)], "value string")
+    lines.write.text(landing)
+    spec = spec_of(out, doc="doc", format="csv", json_mode="canonical", manifest=Manifest.of(["id", "a.b"]))
+    export = IncrementalExport(spark, landing, spark.range(0).schema, spec, "jsonl")
+    done = export.run()
+    assert (done.documents, done.last_id) == (2, 2)
+    back = spark.read.csv(f"{spec.output}/batch-*", header=True).collect()
+    assert sorted((r[0], r[1]) for r in back) == [("1", None), ("2", "x")]
+    spark.createDataFrame([('{"id":"three"}',)], "value string").write.mode("append").text(landing)
+    with pytest.raises(Exception):
+        export.run()
+
+
+def test_pages_of_documents_need_a_typed_key(spark, out, variant):
+    docs = variant('{"id":1,"v":"a"}', '{"id":2,"v":"b"}', '{"id":3}')
+    spec = spec_of(out, doc="doc", query={"v": {"$exists": True}})
+    with pytest.raises(ValueError, match="typed field"):
+        export_page(docs, spec)
+    keyed = docs.withColumn("id", F.variant_get("doc", "$.id", "bigint"))
+    assert [export_page(keyed, spec, 1).documents for _ in range(3)] == [1, 2, 2]
+    assert ids(spark, spec) == [1, 2]
