@@ -1,8 +1,8 @@
 """Text of VARIANT values.
 
-A value is first laid out as a flat array of tokens: punctuation, and leaves in between.  Only that
-small step is recursive, so nesting costs a few nodes a level in the expression, and the rules for a
-leaf appear once.
+For a cell, a value is first laid out as a flat array of tokens: punctuation, and leaves in between.
+Only that small step is recursive, so nesting costs a few nodes a level in the expression, and the
+rules for a leaf appear once.
 """
 
 from __future__ import annotations
@@ -53,20 +53,20 @@ def _parts(value: Column, split_objects: bool) -> Column:
     return F.coalesce(items, _bracketed("{", F.transform(F.map_entries(dt.as_object(value)), field), "}"))
 
 
-def tokens(value: Column, depth: int, split_objects: bool, limit: int | None = None) -> Column:
-    """Tokens of a VARIANT; objects are leaves unless ``split_objects``.
+def tokens(value: Column, depth: int, limit: int | None = None) -> Column:
+    """Tokens of a VARIANT array; everything else, objects too, is a single leaf.
 
     A leaf is what gives no parts, so the cast that tests for a container is also the one that opens
     it and each level is cast once.
     """
     limit = depth if limit is None else limit
-    parts, alone = _parts(value, split_objects), F.array(_token(F.lit(""), value))
+    parts, alone = _parts(value, split_objects=False), F.array(_token(F.lit(""), value))
     if depth == 0:
         return F.when(parts.isNotNull(), dt.too_deep(limit)).otherwise(alone)
 
     def below(part: Column) -> Column:
         mark = F.array(_token(part["mark"]))
-        inner = tokens(part["item"], depth - 1, split_objects, limit)
+        inner = tokens(part["item"], depth - 1, limit)
         return F.when(part["item"].isNull(), mark).otherwise(F.concat(mark, inner))
 
     return F.coalesce(F.flatten(F.transform(parts, below)), alone)
@@ -117,7 +117,7 @@ def render_variant(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
     """Cell text of a VARIANT: arrays as ``[a,b]``, objects as JSON text, scalars as themselves."""
     absent = value.isNull() | F.is_variant_null(value)
     return F.when(absent, F.lit(None).cast("string")).otherwise(
-        join_tokens(tokens(value, depth, split_objects=False), scalar_text)
+        join_tokens(tokens(value, depth), scalar_text)
     )
 
 
@@ -126,25 +126,39 @@ def render_variants(values: list[Column], depth: int = dt.DEFAULT_DEPTH) -> Colu
     return F.transform(F.array(*values), lambda x: render_variant(x, depth))
 
 
-def canonical_json(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
+def _canonical_leaf(leaf: Column) -> Column:
+    """Canonical JSON of a VARIANT scalar."""
+    from docquarry.functions.values import canonical_double_text
+
+    kind, text = F.schema_of_variant(leaf), F.try_variant_get(leaf, "$", "string")
+    whole = F.try_variant_get(leaf, "$", "bigint")
+    int_key = F.when(whole.between(-(2**31), 2**31 - 1), "Int").otherwise("Long")
+    number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
+    wrapped = lambda key, text: F.concat(F.lit('{"$number'), key, F.lit('":"'), text, F.lit('"}'))
+    return (
+        F.when(kind == "BIGINT", wrapped(int_key, text))
+        .when(kind == "STRING", _quoted(text, leaf))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), wrapped(F.lit("Double"), number))
+        .otherwise(F.to_json(leaf))
+    )
+
+
+def canonical_json(value: Column, depth: int = dt.DEFAULT_DEPTH, limit: int | None = None) -> Column:
     """Canonical JSON text of a VARIANT that came from JSON text.
 
     Whole numbers that fit 32 bits become ``$numberInt``, larger ones ``$numberLong``, all other
-    numbers ``$numberDouble``.
+    numbers ``$numberDouble``.  Text is built on the way down; unlike cells, documents are mostly
+    leaves, so the shorter way through a leaf pays for the leaf rules standing in every level.
     """
-    from docquarry.functions.values import canonical_double_text
+    limit = depth if limit is None else limit
+    parts = _parts(value, split_objects=True)
+    if depth == 0:
+        return F.when(parts.isNotNull(), dt.too_deep(limit)).otherwise(_canonical_leaf(value))
+
+    def piece(part: Column) -> Column:
+        item = part["item"]
+        inner = F.when(item.isNull(), "").otherwise(canonical_json(item, depth - 1, limit))
+        return F.concat(part["mark"], inner)
 
-    def written(leaf: Column, kind: Column) -> Column:
-        text = F.try_variant_get(leaf, "$", "string")
-        whole = F.try_variant_get(leaf, "$", "bigint")
-        int_key = F.when(whole.between(-(2**31), 2**31 - 1), "$numberInt").otherwise("$numberLong")
-        number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
-        wrapped = lambda key, text: F.concat(F.lit('{"'), key, F.lit('":"'), text, F.lit('"}'))
-        return (
-            F.when(kind == "BIGINT", wrapped(int_key, text))
-            .when(kind == "STRING", _quoted(text, leaf))
-            .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), wrapped(F.lit("$numberDouble"), number))
-            .otherwise(F.to_json(leaf))
-        )
-
-    return F.when(value.isNotNull(), join_tokens(tokens(value, depth, split_objects=True), written))
+    text = F.coalesce(F.array_join(F.transform(parts, piece), ""), _canonical_leaf(value))
+    return F.when(value.isNotNull(), text) if depth == limit else text
