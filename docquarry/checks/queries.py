@@ -355,11 +355,16 @@ def render_nested(spark, sf):
     return customers.select("c_custkey", *_rendered(customers, "doc"))
 
 
+def _read_json(texts: DataFrame, paths: dict[str, str], *kept: str) -> DataFrame:
+    """Fields of a JSON text column ``text`` as strings; each text is parsed once."""
+    parsed = texts.select(*kept, F.parse_json("text").alias("parsed"))
+    return parsed.select(*kept, *[F.try_variant_get("parsed", p, "string").alias(n) for n, p in paths.items()])
+
+
 def _json_fields(mode: str, paths: dict[str, str]) -> Query:
     def run(spark, sf):
         docs = order_documents(spark, sf)
-        texts = docs.select("_id", document_json(docs, mode).alias("text"))
-        return texts.select("_id", *[F.get_json_object("text", p).alias(n) for n, p in paths.items()])
+        return _read_json(docs.select("_id", document_json(docs, mode).alias("text")), paths, "_id")
 
     return run
 
@@ -414,7 +419,7 @@ def json_canonical_mixed(spark, sf):
         "tag_level": "$.tag.level['$numberInt']",
         "tag_item": "$.tag[1]['$numberInt']",
     }
-    return text.select("_id", *[F.get_json_object("text", p).alias(n) for n, p in paths.items()])
+    return _read_json(text, paths, "_id")
 
 
 @query("row_digest")
@@ -473,9 +478,9 @@ def exit_codes(spark, sf):
 def sink_jsonl(spark, sf):
     docs, path = order_documents(spark, sf), scratch_path(spark, "jsonl")
     write(encode(docs, "jsonl", json_mode="canonical"), "jsonl", path)
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).withColumnRenamed("value", "text")
     paths = {"_id": "$._id['$numberLong']", "status": "$.status", "shard": "$.shard['$numberInt']"}
-    return lines.select(*[F.get_json_object("value", p).alias(n) for n, p in paths.items()])
+    return _read_json(lines, paths)
 
 
 @query("sink_json_array")
