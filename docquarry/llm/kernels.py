@@ -123,7 +123,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
         return hashes
     used = min(size, n)
     factors = seeds(used, salt=0)
-    total = np.full(n - used + 1, np.uint64(used) * _M2, np.uint64)
+    total = np.full(n - used + 1, used, np.uint64) * _M2
     for i in range(used):
         total += hashes[i : n - used + 1 + i] * factors[i]
     return mix(total)
