@@ -10,8 +10,9 @@
 3. A pair is confirmed on the full sets.  First each class is checked against its best partner, then only
    pairs that still lie in different components.
 4. Regions that were too crowded to compare all their classes and that hold more than one component are
-   sorted again by every later tree, below their own prefix, so what the first depth left out is found at
-   the next. This goes on until no such region is left; regions of one component need no more pairs.
+   sorted again, below their own prefix, by the other half of every tree's values, which took no part so
+   far; what the first depth left out is found at the next. This goes on (with later trees only, so the
+   work stays bounded) until no such region is left; regions of one component need no more pairs.
 
 The chance to miss a pair of similarity 0.8 in a region that is not crowded is (1 - 0.8^4)^20 = 0.00003.
 """
@@ -79,13 +80,17 @@ def _sketch(size: int):
     return run
 
 
-def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each class and tree: group (the tree), its slice of the signature, id, set size."""
+def _trees(batches: Iterator[pa.RecordBatch], shift: int = 0) -> Iterator[pa.RecordBatch]:
+    """A row for each class and tree: group (the tree), its slice of the signature, id, set size.
+
+    The values of a slice are taken in a circle from number ``shift`` on.
+    """
     for batch in batches:
         n, width = batch.num_rows, DEPTH * 2
         if not n:
             continue
         cells = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(n, TREES, width)
+        cells = np.ascontiguousarray(np.roll(cells, -2 * shift, axis=2))
         rows = np.repeat(np.arange(n), TREES)
         trees = np.tile(np.arange(TREES, dtype=np.int32), n)
         yield pa.RecordBatch.from_arrays(
@@ -271,6 +276,7 @@ def near_groups(
 
     # Copies of a class are linked to its first id; so are rows that repeat an id.
     links = members.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    first = True
     while True:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         texts = _stored(source.join(wanted, "id", "left_semi"), "texts")
@@ -284,10 +290,11 @@ def near_groups(
             labels = _stored(components(links), "labels")
         if crowded.isEmpty():
             break
-        rows = _deeper(rows, nodes, crowded, labels)
+        rows = _deeper(rows, nodes, crowded, labels, first)
         size = rows.count()
         if not size:
             break
+        first = False
         pairs, crowded = forest_pairs(rows, size, percent)
         pairs, crowded = _stored(pairs, "pairs"), _stored(crowded, "crowded")
 
@@ -311,19 +318,25 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["id", "n", "tree"]).append_column("region", pa.array(region))
 
 
-def _resorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of open regions by every tree after the region's own, each region a group of its own."""
-    for batch in batches:
-        for rows in _trees(iter([batch])):
-            regions = np.repeat(batch.column("region").to_numpy().view(np.uint64), TREES)
-            group = mix(regions ^ rows.column("group").to_numpy().view(np.uint64)).view(np.int64)
-            later = rows.column("tree").to_numpy() > np.repeat(batch.column("tree").to_numpy(), TREES)
-            rows = rows.set_column(1, "group", pa.array(group))
-            yield rows.filter(pa.array(later))
+def _resorted(all_trees: bool):
+    """Rows of open regions by every tree, or by those after the region's own; each region is a group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in _trees(iter([batch]), MIN_DEPTH):
+                regions = np.repeat(batch.column("region").to_numpy().view(np.uint64), TREES)
+                group = mix(regions ^ rows.column("group").to_numpy().view(np.uint64)).view(np.int64)
+                rows = rows.set_column(1, "group", pa.array(group))
+                if not all_trees:
+                    later = rows.column("tree").to_numpy() > np.repeat(batch.column("tree").to_numpy(), TREES)
+                    rows = rows.filter(pa.array(later))
+                yield rows
+
+    return run
 
 
-def _deeper(rows: DataFrame, nodes: DataFrame, crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of crowded regions with several components, to be sorted by all trees."""
+def _deeper(rows: DataFrame, nodes: DataFrame, crowded: DataFrame, labels: DataFrame, first: bool) -> DataFrame:
+    """The rows of crowded regions with several components, to be sorted again."""
     inside = rows.mapInArrow(_regions, "id long, n long, tree int, region long").join(crowded, "region", "left_semi")
     inside = inside.join(labels, inside["id"] == labels["node"], "left").select(
         "id", "n", "tree", "region", F.coalesce("component", "id").alias("component")
@@ -332,7 +345,7 @@ def _deeper(rows: DataFrame, nodes: DataFrame, crowded: DataFrame, labels: DataF
     spread = inside.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     spread = spread.where("low <> high").select("region")
     opened = inside.join(spread, "region", "left_semi").join(nodes.select("id", "n", "signature"), ["id", "n"])
-    return _stored(opened.mapInArrow(_resorted, _TREE_ROWS), "deeper")
+    return _stored(opened.mapInArrow(_resorted(first), _TREE_ROWS), "deeper")
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
