@@ -10,9 +10,9 @@
 3. A pair is confirmed on the full sets.  First each class is checked against its best partner, then only
    pairs that still lie in different components.
 4. Regions that were too crowded to compare all their classes and that hold more than one component are
-   sorted again, below their own prefix, by the other half of every tree's values, which took no part so
-   far; what the first depth left out is found at the next. This goes on (with later trees only, so the
-   work stays bounded) until no such region is left; regions of one component need no more pairs.
+   finished: up to REGION_ROWS classes by comparing the whole signatures of different components inside a
+   task, which emits only pairs that look similar enough; larger ones by sorting them again, below their
+   own prefix, by the other half of every tree's values, until their regions are small or of one component.
 
 The chance to miss a pair of similarity 0.8 in a region that is not crowded is (1 - 0.8^4)^20 = 0.00003.
 """
@@ -46,6 +46,10 @@ MIN_DEPTH = 4
 NEIGHBOURS = 6
 #: Sorted rows for each partition of a range sort, at least.
 PART_ROWS = 4000
+#: Classes of a crowded region that one task compares by signature.
+REGION_ROWS = 2048
+#: Share of equal signature values from which a pair is confirmed: 0.8 less four standard deviations.
+LIKELY = 0.67
 
 
 def _signature(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -195,7 +199,7 @@ def _across(percent: int):
 
 
 def forest_pairs(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``a, b, trees`` and the crowded regions of sorted orders."""
+    """Candidate pairs ``a, b, weight`` and the crowded regions of sorted orders."""
     spark = rows.sparkSession
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_ROWS))
     rows = rows.drop("tree").repartitionByRange(parts, "group", "order", "id")
@@ -206,7 +210,7 @@ def forest_pairs(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     edges = found.where("kind = 2").select("part", "group", "order", "id", "n", "component")
     across = edges.groupBy("part").applyInArrow(_across(percent), _FOUND)
     both = found.where("kind < 2").unionByName(across.select(*found.columns))
-    pairs = both.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("trees"))
+    pairs = both.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     return pairs, both.where("kind = 1").select("region").distinct()
 
 
@@ -280,8 +284,8 @@ def near_groups(
     while True:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         texts = _stored(source.join(wanted, "id", "left_semi"), "texts")
-        best = Window.partitionBy("b").orderBy(F.desc("trees"), "a")
-        ranked = pairs.withColumn("rank", F.row_number().over(best))
+        best = Window.partitionBy("b").orderBy(F.desc("weight"), "a")
+        ranked = _stored(pairs.withColumn("rank", F.row_number().over(best)), "ranked")
         links = links.union(_stored(_confirmed(ranked.where("rank = 1"), texts, shingle, percent), "links"))
         labels = _stored(components(links), "labels")
         rest = _stored(_open(ranked.where("rank > 1"), labels), "open")
@@ -290,13 +294,16 @@ def near_groups(
             labels = _stored(components(links), "labels")
         if crowded.isEmpty():
             break
-        rows = _deeper(rows, nodes, crowded, labels, first)
-        size = rows.count()
-        if not size:
+        small, large = _open_regions(rows, crowded, labels)
+        pairs = _stored(_compared(small, nodes, percent), "pairs")
+        rows = _stored(_deeper(large, nodes, first), "deeper")
+        size, first = rows.count(), False
+        crowded = crowded.limit(0)
+        if size:
+            more, crowded = forest_pairs(rows, size, percent)
+            pairs, crowded = _stored(pairs.unionByName(more), "pairs"), _stored(crowded, "crowded")
+        if pairs.isEmpty() and crowded.isEmpty():
             break
-        first = False
-        pairs, crowded = forest_pairs(rows, size, percent)
-        pairs, crowded = _stored(pairs, "pairs"), _stored(crowded, "crowded")
 
     named = members.select("id", "n").distinct().join(labels, F.col("id") == F.col("node"), "left")
     named = named.select("id", F.coalesce("component", "id").alias("component_id")).distinct()
@@ -335,17 +342,53 @@ def _resorted(all_trees: bool):
     return run
 
 
-def _deeper(rows: DataFrame, nodes: DataFrame, crowded: DataFrame, labels: DataFrame, first: bool) -> DataFrame:
-    """The rows of crowded regions with several components, to be sorted again."""
+def _open_regions(rows: DataFrame, crowded: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of crowded regions that hold several components: of small regions, and of large ones."""
     inside = rows.mapInArrow(_regions, "id long, n long, tree int, region long").join(crowded, "region", "left_semi")
     inside = inside.join(labels, inside["id"] == labels["node"], "left").select(
         "id", "n", "tree", "region", F.coalesce("component", "id").alias("component")
     )
     inside = _stored(inside, "crowded_rows")
-    spread = inside.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    spread = spread.where("low <> high").select("region")
-    opened = inside.join(spread, "region", "left_semi").join(nodes.select("id", "n", "signature"), ["id", "n"])
-    return _stored(opened.mapInArrow(_resorted(first), _TREE_ROWS), "deeper")
+    regions = inside.groupBy("region").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    opened = inside.join(regions.where("low <> high").select("region", "size"), "region")
+    opened = _stored(opened, "open_regions")
+    return opened.where(f"size <= {REGION_ROWS}"), opened.where(f"size > {REGION_ROWS}")
+
+
+def _compare(percent: int):
+    """Likely pairs between the components of a region, by whole signatures."""
+
+    def run(region: pa.Table) -> pa.Table:
+        ids, sizes, comps = (region[c].to_numpy() for c in ("id", "n", "component"))
+        values = np.frombuffer(b"".join(region["signature"].to_pylist()), np.uint16).reshape(len(ids), -1)
+        order = np.argsort(comps, kind="stable")
+        ids, sizes, comps, values = ids[order], sizes[order], comps[order], values[order]
+        found = []
+        for i in range(1, len(ids)):
+            j = np.arange(np.searchsorted(comps, comps[i]))  # all rows of smaller components
+            j = j[100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])]
+            if len(j):
+                same = (values[j] == values[i]).mean(axis=1)
+                likely = same >= LIKELY
+                j, same = j[likely], same[likely]
+                found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), same))
+        a, b, weight = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+        return pa.table({"a": a, "b": b, "weight": weight})
+
+    return run
+
+
+def _compared(small: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    signed = small.join(nodes.select("id", "n", "signature"), ["id", "n"])
+    found = signed.groupBy("region").applyInArrow(_compare(percent), "a long, b long, weight double")
+    return found.where("a <> b").groupBy("a", "b").agg(F.max("weight").alias("weight"))
+
+
+def _deeper(large: DataFrame, nodes: DataFrame, first: bool) -> DataFrame:
+    """Rows of large regions, to be sorted again."""
+    return large.join(nodes.select("id", "n", "signature"), ["id", "n"]).mapInArrow(_resorted(first), _TREE_ROWS)
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
