@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docquarry.llm.decontaminate import contained_items
 from docquarry.llm.exact_dedup import exact_groups
 from docquarry.llm.near_dedup import near_groups
+from docquarry.llm.ngram_lm import ngram_scores, train_ngrams
+from docquarry.llm.piece_codec import default_model, piece_report
+from docquarry.llm.pii import BASE as PII_KINDS, find_pii
+from docquarry.llm.quality import quality_scores, train_quality
+from docquarry.llm.secret_scan import BASE as SECRET_KINDS, find_secrets, train_field
+from docquarry.llm.spans import span_digest
+from docquarry.llm.substring_dedup import repeated_passages
+from docquarry.llm.token_files import read_token_files, write_token_files
+from docquarry.session import scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,18 +29,65 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir), shingle=4)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path, with_ids=False)
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(find_pii(documents(spark, sf_dir)), "doc_id", PII_KINDS)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(documents(spark, sf_dir), default_model())
+
+
+def remainder(divisor: int) -> Column:
+    """Fixed folds: crc32 of the id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = train_ngrams(docs.where(remainder(7) != 2))
+    return ngram_scores(docs, model).withColumn("held_out", remainder(7) == 2)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    weights = train_quality(docs, labels, remainder(3) != 1)
+    return quality_scores(docs, weights).select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return span_digest(find_secrets(docs, train_field(docs)), "doc_id", SECRET_KINDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_token_files": op3_token_files,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
+    "op6_pieces": op6_pieces,
+    "op7_ngram_lm": op7_ngram_lm,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_secrets": op10_secrets,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
