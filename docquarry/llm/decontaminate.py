@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docquarry.llm.kernels import distinct, mix, seeds, shingle_sets, shingles, slices, words
+from docquarry.llm.kernels import common_count, distinct, mix, seeds, shingle_sets, shingles, slices, words
 from docquarry.session import scratch_path
 
 HASHES = 24
@@ -89,51 +89,62 @@ def _parts(rows: list, containment: float) -> list[Part]:
     return parts
 
 
-def _search(parts_of, size: int, containment: float):
+def _contained(parts: list[Part], hashes: np.ndarray, containment: float) -> Iterator[tuple[int, int, int]]:
+    """Items of a block that a text contains: item, shingles found, shingles of the item."""
+    sets: dict[int, np.ndarray] = {}
+    for part in parts:
+        if len(hashes) < part.width:
+            continue
+        if part.width not in sets:
+            sets[part.width] = distinct(shingles(hashes, part.width))
+        values = sets[part.width]
+        if len(values) < math.ceil(containment * part.smallest):
+            continue
+        at = np.searchsorted(values, part.sketch)
+        at[at == len(values)] = 0
+        hit = part.owner[values[at] == part.sketch]
+        if not len(hit):
+            continue
+        counts = np.bincount(hit, minlength=len(part.items))
+        for k in np.flatnonzero(counts >= part.hits).tolist():
+            shared = common_count(part.sets[k], values)
+            if shared >= containment * len(part.sets[k]):
+                yield int(part.items[k]), shared, len(part.sets[k])
+
+
+def _search(shared, containment: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = parts_of.value
         for batch in slices(batches, "text"):
             found = words(batch.column("text"))
-            rows, items, shares, lengths = [], [], [], []
+            rows, matches = [], []
             for i, (begin, end) in enumerate(zip(found.rows[:-1].tolist(), found.rows[1:].tolist())):
-                hashes, sets = found.hashes[begin:end], {}
-                for part in parts:
-                    if len(hashes) < part.width:
-                        continue
-                    if part.width not in sets:
-                        sets[part.width] = distinct(shingles(hashes, part.width))
-                    values = sets[part.width]
-                    if len(values) < math.ceil(containment * part.smallest):
-                        continue
-                    at = np.searchsorted(values, part.sketch)
-                    at[at == len(values)] = 0
-                    hit = part.owner[values[at] == part.sketch]
-                    if not len(hit):
-                        continue
-                    counts = np.bincount(hit, minlength=len(part.items))
-                    for k in np.flatnonzero(counts >= part.hits).tolist():
-                        wanted = part.sets[k]
-                        at = np.searchsorted(values, wanted)
-                        at[at == len(values)] = 0
-                        share = int(np.count_nonzero(values[at] == wanted))
-                        if share >= containment * len(wanted):
-                            rows.append(i)
-                            items.append(part.items[k])
-                            shares.append(share)
-                            lengths.append(len(wanted))
+                for match in _contained(shared.value, found.hashes[begin:end], containment):
+                    rows.append(i)
+                    matches.append(match)
+            columns = list(zip(*matches)) if matches else [[]] * 3
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(pa.array(rows, pa.int64())),
-                    pa.array(items, pa.int64()),
-                    pa.array(shares, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                ],
+                [batch.column("id").take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in columns)],
                 names=["id", "item", "shared", "item_shingles"],
             )
 
     return run
 
 
+def _blocks(items: DataFrame, item_id: str, item_text: str, shingle: int, containment: float) -> Iterator:
+    """Broadcast sketches of the items, block by block."""
+    spark = items.sparkSession
+    path = scratch_path(spark, "items")
+    items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).mapInArrow(
+        _item_sets(shingle), "item long, width long, shingles binary"
+    ).where("width > 0").withColumn("size", F.expr("octet_length(shingles) div 8")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    total = stored.agg(F.sum("size")).first()[0] or 0
+    blocks = max(1, math.ceil(1.5 * total / BLOCK_SHINGLES))
+    for block in range(blocks):
+        rows = stored.where(F.pmod(F.xxhash64("item", "shingles"), F.lit(blocks)) == block).collect()
+        yield spark.sparkContext.broadcast(_parts(rows, containment))
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -152,22 +163,10 @@ def contained_items(
     Repeated rows give repeated pairs.  Other columns are not read.  Ids are whole numbers; a NULL id
     stays NULL.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "items")
-    items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).mapInArrow(
-        _item_sets(shingle), "item long, width long, shingles binary"
-    ).where("width > 0").withColumn("size", F.expr("octet_length(shingles) div 8")).write.parquet(path)
-    stored = spark.read.parquet(path)
-    total = stored.agg(F.sum("size")).first()[0] or 0
-    blocks = max(1, math.ceil(1.5 * total / BLOCK_SHINGLES))
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     result = None
-    for block in range(blocks):
-        rows = stored.where(F.pmod(F.xxhash64("item", "shingles"), F.lit(blocks)) == block).collect()
-        parts = spark.sparkContext.broadcast(_parts(rows, containment))
-        found = source.mapInArrow(
-            _search(parts, shingle, containment), "id long, item long, shared long, item_shingles long"
-        )
+    for parts in _blocks(items, item_id, item_text, shingle, containment):
+        found = source.mapInArrow(_search(parts, containment), "id long, item long, shared long, item_shingles long")
         result = found if result is None else result.unionByName(found)
     return result.select(
         F.col("id").alias(id),
@@ -179,8 +178,26 @@ def contained_items(
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", containment: float = 0.8
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    shingle: int = 5,
+    containment: float = 0.8,
 ) -> DataFrame:
-    """The documents that contain no item; all columns stay.  A NULL id is never dropped."""
-    dropped = contained_items(docs, items, id, text, containment=containment).select(id).distinct()
-    return docs.join(dropped, id, "left_anti").select(*docs.columns)
+    """The documents that contain no item, all columns as they are, without a shuffle."""
+
+    def keep(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, text):
+                found = words(batch.column(text))
+                bounds = zip(found.rows[:-1].tolist(), found.rows[1:].tolist())
+                clean = [next(_contained(shared.value, found.hashes[a:b], containment), None) is None for a, b in bounds]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return run
+
+    for parts in _blocks(items, item_id, item_text, shingle, containment):
+        docs = docs.mapInArrow(keep(parts), docs.schema)
+    return docs
