@@ -59,7 +59,7 @@ class Part:
     owner: np.ndarray
 
 
-def _parts(rows: list, containment: float) -> list[Part]:
+def _parts(rows: list, percent: int) -> list[Part]:
     """Sketches of a block of items, by partition."""
     grouped: dict[tuple[int, int], list] = {}
     for row in rows:
@@ -79,7 +79,7 @@ def _parts(rows: list, containment: float) -> list[Part]:
             Part(
                 width,
                 min(len(v) for _, v in members),
-                max(1, math.ceil((containment - MARGIN) * HASHES)),
+                max(1, math.ceil((percent / 100 - MARGIN) * HASHES)),
                 np.array([item for item, _ in members]),
                 [v for _, v in members],
                 sketch[order],
@@ -89,7 +89,7 @@ def _parts(rows: list, containment: float) -> list[Part]:
     return parts
 
 
-def _contained(parts: list[Part], hashes: np.ndarray, containment: float) -> Iterator[tuple[int, int, int]]:
+def _contained(parts: list[Part], hashes: np.ndarray, percent: int) -> Iterator[tuple[int, int, int]]:
     """Items of a block that a text contains: item, shingles found, shingles of the item."""
     sets: dict[int, np.ndarray] = {}
     for part in parts:
@@ -98,7 +98,7 @@ def _contained(parts: list[Part], hashes: np.ndarray, containment: float) -> Ite
         if part.width not in sets:
             sets[part.width] = distinct(shingles(hashes, part.width))
         values = sets[part.width]
-        if len(values) < math.ceil(containment * part.smallest):
+        if len(values) < -(-percent * part.smallest // 100):
             continue
         at = np.searchsorted(values, part.sketch)
         at[at == len(values)] = 0
@@ -108,17 +108,17 @@ def _contained(parts: list[Part], hashes: np.ndarray, containment: float) -> Ite
         counts = np.bincount(hit, minlength=len(part.items))
         for k in np.flatnonzero(counts >= part.hits).tolist():
             shared = common_count(part.sets[k], values)
-            if shared >= containment * len(part.sets[k]):
+            if 100 * shared >= percent * len(part.sets[k]):
                 yield int(part.items[k]), shared, len(part.sets[k])
 
 
-def _search(shared, containment: float):
+def _search(shared, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = words(batch.column("text"))
             rows, matches = [], []
             for i, (begin, end) in enumerate(zip(found.rows[:-1].tolist(), found.rows[1:].tolist())):
-                for match in _contained(shared.value, found.hashes[begin:end], containment):
+                for match in _contained(shared.value, found.hashes[begin:end], percent):
                     rows.append(i)
                     matches.append(match)
             columns = list(zip(*matches)) if matches else [[]] * 3
@@ -130,7 +130,7 @@ def _search(shared, containment: float):
     return run
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str, shingle: int, containment: float) -> Iterator:
+def _blocks(items: DataFrame, item_id: str, item_text: str, shingle: int, percent: int) -> Iterator:
     """Broadcast sketches of the items, block by block."""
     spark = items.sparkSession
     path = scratch_path(spark, "items")
@@ -142,7 +142,7 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, shingle: int, contai
     blocks = max(1, math.ceil(1.5 * total / BLOCK_SHINGLES))
     for block in range(blocks):
         rows = stored.where(F.pmod(F.xxhash64("item", "shingles"), F.lit(blocks)) == block).collect()
-        yield spark.sparkContext.broadcast(_parts(rows, containment))
+        yield spark.sparkContext.broadcast(_parts(rows, percent))
 
 
 def contained_items(
@@ -153,20 +153,20 @@ def contained_items(
     item_id: str = "item_id",
     item_text: str = "text",
     shingle: int = 5,
-    containment: float = 0.8,
+    percent: int = 80,
 ) -> DataFrame:
     """Pairs ``id, item_id, shared, item_shingles, containment`` of documents and the items they contain.
 
-    Words are lower-cased (A-Z).  An item is contained when at least ``containment`` of its distinct
-    ``shingle``-word shingles occur in the document; an item with fewer words is one shingle of all its
+    Words are lower-cased (A-Z).  An item is contained when at least ``percent`` / 100 of its
+    distinct ``shingle``-word shingles occur in the document; an item with fewer words is one shingle of all its
     words, searched at that width.  Items or documents without words, or with NULL text, match nothing.
     Repeated rows give repeated pairs.  Other columns are not read.  Ids are whole numbers; a NULL id
     stays NULL.
     """
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     result = None
-    for parts in _blocks(items, item_id, item_text, shingle, containment):
-        found = source.mapInArrow(_search(parts, containment), "id long, item long, shared long, item_shingles long")
+    for parts in _blocks(items, item_id, item_text, shingle, percent):
+        found = source.mapInArrow(_search(parts, percent), "id long, item long, shared long, item_shingles long")
         result = found if result is None else result.unionByName(found)
     return result.select(
         F.col("id").alias(id),
@@ -184,7 +184,7 @@ def drop_contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
     shingle: int = 5,
-    containment: float = 0.8,
+    percent: int = 80,
 ) -> DataFrame:
     """The documents that contain no item, all columns as they are, without a shuffle."""
 
@@ -193,11 +193,11 @@ def drop_contaminated(
             for batch in slices(batches, text):
                 found = words(batch.column(text))
                 bounds = zip(found.rows[:-1].tolist(), found.rows[1:].tolist())
-                clean = [next(_contained(shared.value, found.hashes[a:b], containment), None) is None for a, b in bounds]
+                clean = [next(_contained(shared.value, found.hashes[a:b], percent), None) is None for a, b in bounds]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         return run
 
-    for parts in _blocks(items, item_id, item_text, shingle, containment):
+    for parts in _blocks(items, item_id, item_text, shingle, percent):
         docs = docs.mapInArrow(keep(parts), docs.schema)
     return docs

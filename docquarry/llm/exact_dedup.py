@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from docquarry.llm.rows import by_id
 from docquarry.session import scratch_path
 
 COUNTERS = 1024
@@ -106,5 +107,4 @@ def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text
 
     Only ids of dropped rows meet the documents again; a NULL id is never dropped.
     """
-    dropped = exact_groups(docs, id, text).where("not kept").select(id).where(F.col(id).isNotNull()).distinct()
-    return docs.join(dropped, id, "left_anti").select(*docs.columns)
+    return by_id(docs, exact_groups(docs, id, text).where("not kept").select(id), id, "left_anti")

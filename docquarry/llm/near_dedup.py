@@ -10,9 +10,10 @@
 3. A pair is confirmed on the full sets.  First each class is checked against its best partner, then only
    pairs that still lie in different components.
 4. Regions that were too crowded to compare all their classes and that hold more than one component are
-   finished: up to REGION_ROWS classes by comparing the whole signatures of different components inside a
-   task, which emits only pairs that look similar enough; larger ones by sorting them again, below their
-   own prefix, by the other half of every tree's values, until their regions are small or of one component.
+   finished exactly.  Regions of up to REGION_ROWS classes are put together where they share components,
+   and the full sets of each such cluster are compared between components inside a task, which emits only
+   links that join two components.  Larger regions are sorted again, below their own prefix, by the other
+   half of every tree's values, until their regions are small or of one component.
 
 The chance to miss a pair of similarity 0.8 in a region that is not crowded is (1 - 0.8^4)^20 = 0.00003.
 """
@@ -33,11 +34,13 @@ from docquarry.llm.kernels import (
     binary_array,
     common_count,
     mix,
+    ragged,
     seeds,
     shingle_sets,
     slices,
     words,
 )
+from docquarry.llm.rows import by_id, stored
 from docquarry.session import scratch_path
 
 TREES = 20
@@ -46,10 +49,8 @@ MIN_DEPTH = 4
 NEIGHBOURS = 6
 #: Sorted rows for each partition of a range sort, at least.
 PART_ROWS = 4000
-#: Classes of a crowded region that one task compares by signature.
+#: Classes whose full sets one task compares.
 REGION_ROWS = 2048
-#: Share of equal signature values from which a pair is confirmed: 0.8 less four standard deviations.
-LIKELY = 0.67
 
 
 def _signature(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -238,10 +239,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return joined.mapInArrow(_verify(size, percent), "a long, b long")
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _stars(labels: DataFrame) -> DataFrame:
+    """Links that say the same as the labels."""
+    return labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def _open(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -266,44 +266,45 @@ def near_groups(
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    sketches = _stored(source.mapInArrow(_sketch(shingle), "id long, n long, key binary, signature binary"), "sketches")
+    sketches = stored(source.mapInArrow(_sketch(shingle), "id long, n long, key binary, signature binary"), "sketches")
     full = sketches.where("n > 0 and id is not null")
     classes = full.groupBy("key").agg(F.min("id").alias("first"))
-    members = _stored(full.select("id", "n", "key").join(classes, "key").select("id", "n", "first"), "members")
+    members = stored(full.select("id", "n", "key").join(classes, "key").select("id", "n", "first"), "members")
 
     nodes = full.join(classes.withColumnRenamed("first", "id"), ["key", "id"], "left_semi")
-    nodes = _stored(nodes.select("id", "n", "signature").dropDuplicates(["id", "n", "signature"]), "nodes")
+    nodes = stored(nodes.select("id", "n", "signature").dropDuplicates(["id", "n", "signature"]), "nodes")
     alone = nodes.withColumn("component", F.col("id"))
     rows = alone.mapInArrow(_trees, _TREE_ROWS)
     pairs, crowded = forest_pairs(rows, nodes.count() * TREES, percent)
-    pairs, crowded = _stored(pairs, "pairs"), _stored(crowded, "crowded")
+    pairs, crowded = stored(pairs, "pairs"), stored(crowded, "crowded")
 
     # Copies of a class are linked to its first id; so are rows that repeat an id.
     links = members.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
     first = True
     while True:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = _stored(source.join(wanted, "id", "left_semi"), "texts")
+        texts = stored(by_id(source, wanted, "id", "left_semi"), "texts")
         best = Window.partitionBy("b").orderBy(F.desc("weight"), "a")
-        ranked = _stored(pairs.withColumn("rank", F.row_number().over(best)), "ranked")
-        links = links.union(_stored(_confirmed(ranked.where("rank = 1"), texts, shingle, percent), "links"))
-        labels = _stored(components(links), "labels")
-        rest = _stored(_open(ranked.where("rank > 1"), labels), "open")
+        ranked = stored(pairs.withColumn("rank", F.row_number().over(best)), "ranked")
+        links = links.union(_confirmed(ranked.where("rank = 1"), texts, shingle, percent))
+        labels = stored(components(links), "labels")
+        rest = stored(_open(ranked.where("rank > 1"), labels), "open")
         if not rest.isEmpty():
-            links = links.union(_stored(_confirmed(rest, texts, shingle, percent), "links"))
-            labels = _stored(components(links), "labels")
-        if crowded.isEmpty():
+            links = _stars(labels).union(_confirmed(rest, texts, shingle, percent))
+            labels = stored(components(links), "labels")
+        opened = stored(_open_regions(rows, crowded, labels), "open_regions")
+        if opened.isEmpty():
             break
-        small, large = _open_regions(rows, crowded, labels)
-        pairs = _stored(_compared(small, nodes, percent), "pairs")
-        rows = _stored(_deeper(large, nodes, first), "deeper")
+        small, large = opened.where(f"size <= {REGION_ROWS}"), opened.where(f"size > {REGION_ROWS}")
+        links = _stars(labels).union(_linked(small, source, shingle, percent))
+        labels = stored(components(links), "labels")
+        rows = stored(_deeper(large, nodes, first), "deeper")
         size, first = rows.count(), False
-        crowded = crowded.limit(0)
-        if size:
-            more, crowded = forest_pairs(rows, size, percent)
-            pairs, crowded = _stored(pairs.unionByName(more), "pairs"), _stored(crowded, "crowded")
-        if pairs.isEmpty() and crowded.isEmpty():
+        if not size:
             break
+        links = _stars(labels)
+        pairs, crowded = forest_pairs(rows, size, percent)
+        pairs, crowded = stored(pairs, "pairs"), stored(crowded, "crowded")
 
     named = members.select("id", "n").distinct().join(labels, F.col("id") == F.col("node"), "left")
     named = named.select("id", F.coalesce("component", "id").alias("component_id")).distinct()
@@ -342,48 +343,62 @@ def _resorted(all_trees: bool):
     return run
 
 
-def _open_regions(rows: DataFrame, crowded: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of crowded regions that hold several components: of small regions, and of large ones."""
+def _open_regions(rows: DataFrame, crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of crowded regions that hold several components, with their region's size and least component."""
     inside = rows.mapInArrow(_regions, "id long, n long, tree int, region long").join(crowded, "region", "left_semi")
     inside = inside.join(labels, inside["id"] == labels["node"], "left").select(
         "id", "n", "tree", "region", F.coalesce("component", "id").alias("component")
     )
-    inside = _stored(inside, "crowded_rows")
+    inside = stored(inside, "crowded_rows")
     regions = inside.groupBy("region").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
     )
-    opened = inside.join(regions.where("low <> high").select("region", "size"), "region")
-    opened = _stored(opened, "open_regions")
-    return opened.where(f"size <= {REGION_ROWS}"), opened.where(f"size > {REGION_ROWS}")
-
-
-def _compare(percent: int):
-    """Likely pairs between the components of a region, by whole signatures."""
-
-    def run(region: pa.Table) -> pa.Table:
-        ids, sizes, comps = (region[c].to_numpy() for c in ("id", "n", "component"))
-        values = np.frombuffer(b"".join(region["signature"].to_pylist()), np.uint16).reshape(len(ids), -1)
-        order = np.argsort(comps, kind="stable")
-        ids, sizes, comps, values = ids[order], sizes[order], comps[order], values[order]
+    return inside.join(regions.where("low <> high").drop("high"), "region")
+
+
+def _link(size: int, percent: int):
+    """Links between the components of a cluster, on full sets; one for each two components that meet."""
+
+    def run(cluster: pa.Table) -> pa.Table:
+        ids, comps = cluster["id"].to_numpy(), cluster["component"].to_numpy()
+        sets = list(shingle_sets(words(cluster["text"].combine_chunks()), size))
+        counts = np.array([len(s) for s in sets])
+        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), counts)
+        order = np.argsort(place, kind="stable")
+        holders, first = owner[order], np.searchsorted(place[order], np.arange(len(values) + 1))
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        label = np.unique(comps, return_inverse=True)[1]
         found = []
-        for i in range(1, len(ids)):
-            j = np.arange(np.searchsorted(comps, comps[i]))  # all rows of smaller components
-            j = j[100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])]
-            if len(j):
-                same = (values[j] == values[i]).mean(axis=1)
-                likely = same >= LIKELY
-                j, same = j[likely], same[likely]
-                found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), same))
-        a, b, weight = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
-        return pa.table({"a": a, "b": b, "weight": weight})
+        # Every pair of components is seen from the smaller one.
+        for i in np.argsort(np.bincount(label)[label], kind="stable").tolist():
+            mine = place[begins[i] : begins[i + 1]]
+            both = np.bincount(holders[ragged(first[mine], first[mine + 1] - first[mine])], minlength=len(sets))
+            near = (100 * both >= percent * (counts + counts[i] - both)) & (label != label[i])
+            for j in np.flatnonzero(near).tolist():
+                if label[j] != label[i]:
+                    found.append((ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+            if (label == label[0]).all():
+                break
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _compared(small: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    signed = small.join(nodes.select("id", "n", "signature"), ["id", "n"])
-    found = signed.groupBy("region").applyInArrow(_compare(percent), "a long, b long, weight double")
-    return found.where("a <> b").groupBy("a", "b").agg(F.max("weight").alias("weight"))
+def _linked(small: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links inside small open regions; a text is read once for each cluster of regions."""
+    touching = stored(components(small.select(F.col("component").alias("a"), F.col("low").alias("b"))), "clusters")
+    member = small.join(touching, small["component"] == touching["node"], "left").select(
+        "id", small["component"], "region", F.coalesce(touching["component"], small["component"]).alias("cluster")
+    )
+    member = stored(member, "cluster_rows")
+    sizes = member.groupBy("cluster").agg(F.count_distinct("id").alias("size"))
+    unit = F.when(F.col("size") <= REGION_ROWS, F.xxhash64("cluster")).otherwise(F.col("region"))
+    units = member.join(sizes, "cluster").select(unit.alias("unit"), "id", "component").distinct()
+    texts = by_id(source, member, "id", "left_semi")
+    return units.join(texts, "id").groupBy("unit").applyInArrow(_link(size, percent), "a long, b long")
 
 
 def _deeper(large: DataFrame, nodes: DataFrame, first: bool) -> DataFrame:
@@ -393,5 +408,4 @@ def _deeper(large: DataFrame, nodes: DataFrame, first: bool) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8); all columns stay."""
-    dropped = near_groups(docs, id, text).where("not kept").select(id).distinct()
-    return docs.join(dropped, id, "left_anti").select(*docs.columns)
+    return by_id(docs, near_groups(docs, id, text).where("not kept").select(id), id, "left_anti")

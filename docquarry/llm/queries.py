@@ -92,7 +92,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+')"
+
+
+def _grams(words: str, size: str) -> str:
+    """Distinct runs of words as a list; all words, where there are fewer."""
+    starts = f"range(1, greatest(len({words}) - {size} + 1, 1) + 1)"
+    grams = f"list_distinct([array_to_string({words}[i : i + {size} - 1], ' ') for i in {starts}])"
+    return f"CASE WHEN len({words}) = 0 THEN [] ELSE {grams} END"
+
+
 SQL: dict[str, str] = {
+    "op1_near_dedup": f"""
+        WITH RECURSIVE
+        sets AS (SELECT doc_id, {_grams('words', '4')} AS grams FROM (SELECT doc_id, {_WORDS} AS words FROM documents)),
+        cells AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM cells a JOIN cells b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+        SELECT doc_id, any_value(len(grams)) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+        FROM sets JOIN reached USING (doc_id) GROUP BY doc_id""",
+    "op5_decontaminate": f"""
+        WITH items AS (
+            SELECT item_id, least(5, len(words)) AS width, {_grams('words', '5')} AS grams
+            FROM (SELECT item_id, {_WORDS} AS words FROM benchmark)),
+        wanted AS (SELECT item_id, width, len(grams) AS n, unnest(grams) AS gram FROM items),
+        texts AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        cells AS (
+            SELECT doc_id, width, unnest({_grams('words', 'width')}) AS gram
+            FROM texts, (SELECT DISTINCT width FROM items) WHERE len(words) >= width)
+        SELECT doc_id, item_id, count(*) AS shared, n AS item_shingles, count(*) / n AS containment
+        FROM cells JOIN wanted USING (width, gram) GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 80 * n""",
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(lowered) AS text_sha256

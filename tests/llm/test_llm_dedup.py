@@ -173,3 +173,27 @@ def test_anchors_and_alignment():
     b = np.concatenate([a[:40], np.array([900], np.uint64), a[42:]])
     assert align(a, b, [(0, 0, 40), (42, 41, 58)]) == (0, 100, 0, 99, 98)
     assert _between(np.array([1, 2, 3, 4]), np.array([2, 9, 4])) == 2
+
+
+@pytest.mark.parametrize("part", [500_000, 40])
+def test_components(spark, monkeypatch, part):
+    from docquarry.llm import components as module
+
+    monkeypatch.setattr(module, "PART_LINKS", part)
+    rng = random.Random(8)
+    links = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(5, 5), (3, 2), (2, 3)]
+    links += [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
+    rng.shuffle(links)
+    parent = list(range(300))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    found = {r.node: r.component for r in module.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {n: find(n) for a, b in links if a != b for n in (a, b)}
+    assert module.components(spark.createDataFrame([], "a long, b long")).count() == 0
