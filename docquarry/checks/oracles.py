@@ -171,7 +171,8 @@ SQL: dict[str, str] = {
     "project_nested": "SELECT o_orderkey AS _id, o_custkey AS customer_key, o_orderstatus AS status FROM orders",
     "project_variant": f"""SELECT event_id AS _id,
         '{{"props":{{"k":' || {_PROPS_K} || '}}'
-        || CASE WHEN {_TAG_IS_DOC} THEN ',"tag":{{"name":"' || event_type || '"}}' ELSE '' END
+        || CASE WHEN {_TAG_IS_DOC} THEN ',"tag":{{"name":"' || event_type || '"}}'
+            WHEN event_id % 2 = 0 THEN ',"tag":[]' ELSE '' END
         || ',"user":' || CASE WHEN event_id % 7 = 0 THEN '{{}}' WHEN event_id % 5 = 0 THEN '{{"type":null}}'
             ELSE '{{"type":"' || event_type || '"}}' END || '}}' AS doc FROM events""",
     "path_lookup": f"SELECT event_id AS _id, CAST(user_id AS VARCHAR) AS user_id, {_TAG_NAME} AS tag_name, "
@@ -182,9 +183,22 @@ SQL: dict[str, str] = {
         {_REF} AS customer_ref, o_orderstatus AS status, {_AMOUNT} AS amount, {_PLACED} AS placed,
         '[' || o_orderstatus || ',' || o_orderpriority || ']' AS tags, CAST(NULL AS VARCHAR) AS tags_x,
         {_RAW_HEX} AS raw, CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS closed FROM orders""",
-    "sort_multi": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderstatus, o_totalprice DESC",
-    "sort_nulls": f"SELECT event_id AS _id, {_USER_TYPE} AS user_type FROM events "
-    "ORDER BY user_type ASC NULLS FIRST, event_id LIMIT 5000",
+    "sort_multi": "SELECT o_orderkey, o_orderstatus, o_totalprice, "
+    "row_number() OVER (ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey) AS rank FROM orders",
+    "sort_nulls": f"SELECT event_id AS _id, {_USER_TYPE} AS user_type, "
+    f"row_number() OVER (ORDER BY {_USER_TYPE} ASC NULLS FIRST, event_id) AS rank FROM events",
+    "resume_pages_equal_keys": "SELECT event_id, strftime(date_trunc('day', ts), '%Y-%m-%dT00:00:00.000Z') AS day FROM events",
+    "json_modes_variant": """WITH d AS (
+            SELECT o_orderkey AS _id, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%dT00:00:00.000Z') AS iso,
+                CAST(epoch_ms(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) AS VARCHAR) AS ms,
+                lower(hex(encode(o_orderpriority))) AS hexed, to_base64(encode(o_orderpriority)) AS coded,
+                CASE WHEN o_orderkey % 2 = 0 THEN 'NaN' ELSE 'Infinity' END AS endless FROM orders)
+        SELECT _id, '{"placed":"' || iso || '","raw":"' || hexed || '","share":null,"tail":["' || iso || '"]}' AS plain,
+            '{"placed":{"$date":"' || iso || '"},"raw":{"$binary":{"base64":"' || coded || '","subType":"00"}},"share":'
+                || '{"$numberDouble":"' || endless || '"},"tail":[{"$date":"' || iso || '"}]}' AS relaxed,
+            '{"placed":{"$date":{"$numberLong":"' || ms || '"}},"raw":{"$binary":{"base64":"' || coded
+                || '","subType":"00"}},"share":{"$numberDouble":"' || endless || '"},"tail":[{"$date":{"$numberLong":"'
+                || ms || '"}}]}' AS canonical FROM d""",
     "skip_docs": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey OFFSET 5000",
     "limit_docs": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500",
     "limit_large": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem ORDER BY "

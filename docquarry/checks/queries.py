@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docquarry.checks.fixtures import log_messages, mixed_documents, order_documents, table
 from docquarry.functions import (
@@ -99,8 +99,11 @@ def sample_docs(spark, sf):
 @query("scan_snapshot")
 def scan_snapshot_counts(spark, sf):
     snapshot = scan_snapshot(spark, f"{sf}/lineitem.parquet")
-    snapshot.verify()
-    return snapshot.df.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+    counts = snapshot.df.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "snapshot_counts")
+    counts.write.parquet(path)
+    snapshot.verify()  # after the read, so it vouches for what was read
+    return spark.read.parquet(path)
 
 
 # ---- filters ----------------------------------------------------------------------------------
@@ -206,17 +209,28 @@ def flatten_typed(spark, sf):
 # ---- sort, limit, paging, counts --------------------------------------------------------------
 
 
+def _ranked(ordered):
+    """Sorted rows with the rank at which they stand, so that a comparison of sets sees the order."""
+    path = scratch_path(ordered.sparkSession, "ranked")
+    ordered.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    stored = ordered.sparkSession.read.parquet(path).withColumn("part", F.shiftright("place", 33))
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"))
+    rank = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + 1
+    return stored.join(F.broadcast(sizes), "part").withColumn("rank", rank).drop("part", "place", "before")
+
+
 @query("sort_multi")
 def sort_multi(spark, sf):
-    ordered = sort_docs(table(spark, sf, "orders"), "o_orderstatus:1,o_totalprice:desc")
-    return ordered.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return _ranked(sort_docs(orders, "o_orderstatus:1,o_totalprice:desc,o_orderkey:1"))
 
 
 @query("sort_nulls")
 def sort_nulls(spark, sf):
-    """The first page of a sort whose leading key is missing or null in part of the documents."""
-    docs = page(mixed_documents(spark, sf), "user.type:1,event_id:1", limit=5000, doc="doc")
-    return docs.select("_id", get_path(docs, "user.type", "doc").cast("string").alias("user_type"))
+    """A sort whose leading key is missing or null in part of the documents."""
+    docs = sort_docs(mixed_documents(spark, sf), "user.type:1,event_id:1", "doc")
+    return _ranked(docs.select("_id", get_path(docs, "user.type", "doc").cast("string").alias("user_type")))
 
 
 @query("skip_docs")
@@ -422,6 +436,19 @@ def json_canonical_mixed(spark, sf):
     return _read_json(text, paths, "_id")
 
 
+@query("json_modes_variant")
+def json_modes_variant(spark, sf):
+    """Instants, bytes and endless numbers inside a VARIANT, in all three modes."""
+    typed = F.struct(
+        F.col("o_orderdate").cast("timestamp").alias("placed"),
+        F.encode("o_orderpriority", "utf-8").alias("raw"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf"))).alias("share"),
+        F.array(F.col("o_orderdate").cast("date")).alias("tail"),
+    )
+    docs = table(spark, sf, "orders").select(F.col("o_orderkey").alias("_id"), F.to_variant_object(typed).alias("doc"))
+    return docs.select("_id", *[document_json(docs, m, "doc").alias(m) for m in ("plain", "relaxed", "canonical")])
+
+
 @query("row_digest")
 def row_digests(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -568,6 +595,26 @@ def output_digest_bytes(spark, sf):
 # ---- resumable and streaming exports ----------------------------------------------------------
 
 
+@query("resume_pages_equal_keys")
+def resume_pages_equal_keys(spark, sf):
+    """A paged export by a timestamp that many documents share; every document is there once."""
+    day = F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")
+    events = table(spark, sf, "events").select("event_id", day)
+    spec = ExportSpec(
+        output=scratch_path(spark, "day-pages"),
+        format="jsonl",
+        json_mode="plain",
+        state_dir=scratch_path(spark, "day-pages-state"),
+        create_dirs=True,
+        key="day",
+    )
+    size = events.count() // 3 + 1
+    progress = export_page(events, spec, size)
+    while (step := export_page(events, spec, size)).documents > progress.documents:
+        progress = step
+    return spark.read.schema("event_id long, day string").json(f"{spec.output}/page-*")
+
+
 @query("resume_pages")
 def resume_pages(spark, sf):
     """Three calls of a paged export, the last one with nothing left to do."""

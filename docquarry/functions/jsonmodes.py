@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
 from docquarry.functions import values
-from docquarry.functions.variants import canonical_json
+from docquarry.functions.variants import canonical_json, readable_json
 
 MODES = ("canonical", "relaxed", "plain")
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -96,6 +96,8 @@ def json_ready(value: Column, dtype: T.DataType, mode: str) -> Column:
         return _present(value, F.struct(*parts)) if parts else value
     if isinstance(dtype, T.VariantType) and mode == "canonical":
         return F.parse_json(canonical_json(value))
+    if isinstance(dtype, T.VariantType) and mode in ("plain", "relaxed"):
+        return F.parse_json(readable_json(value, mode))
     return value
 
 
@@ -111,7 +113,7 @@ def document_json(df: DataFrame, mode: str = "canonical", doc: str | None = None
     if doc is not None:
         value = dt.column(doc)
         if isinstance(dt.field_type(df.schema, doc), T.VariantType):
-            return canonical_json(value) if mode == "canonical" else F.to_json(value)
+            return canonical_json(value) if mode == "canonical" else readable_json(value, mode)
         return F.to_json(json_ready(value, df.schema[doc].dataType, mode), _KEEP_NULLS)
     parts = [json_ready(dt.column(f.name), f.dataType, mode).alias(f.name) for f in df.schema.fields]
     return F.to_json(F.struct(*parts), _KEEP_NULLS)

@@ -126,6 +126,38 @@ def render_variants(values: list[Column], depth: int = dt.DEFAULT_DEPTH) -> Colu
     return F.transform(F.array(*values), lambda x: render_variant(x, depth))
 
 
+def _instant_leaf(leaf: Column, kind: str, dtype: T.DataType, mode: str) -> Column:
+    """JSON of a VARIANT instant; never NULL text for a value outside the readable range."""
+    from docquarry.functions.values import LAST_RFC3339_MS, epoch_millis, rfc3339
+
+    value = F.try_variant_get(leaf, "$", kind)
+    millis, readable = epoch_millis(value, dtype), F.concat(F.lit('"'), rfc3339(value, dtype), F.lit('"'))
+    counted = F.concat(F.lit('{"$date":{"$numberLong":"'), millis.cast("string"), F.lit('"}}'))
+    if mode == "plain":
+        return readable
+    if mode == "canonical":
+        return counted
+    inside = millis.between(0, LAST_RFC3339_MS)
+    return F.when(inside, F.concat(F.lit('{"$date":'), readable, F.lit("}"))).otherwise(counted)
+
+
+def _typed_leaf(leaf: Column, kind: Column, mode: str) -> Column:
+    """JSON of the kinds that no JSON text gives a VARIANT: instants and bytes; NULL for all others."""
+    from docquarry.functions.values import hex_text
+
+    data = F.try_variant_get(leaf, "$", "binary")
+    if mode == "plain":
+        binary = F.concat(F.lit('"'), hex_text(data), F.lit('"'))
+    else:
+        binary = F.concat(F.lit('{"$binary":{"base64":"'), F.base64(data), F.lit('","subType":"00"}}'))
+    return (
+        F.when(kind == "TIMESTAMP", _instant_leaf(leaf, "timestamp", T.TimestampType(), mode))
+        .when(kind == "TIMESTAMP_NTZ", _instant_leaf(leaf, "timestamp_ntz", T.TimestampNTZType(), mode))
+        .when(kind == "DATE", _instant_leaf(leaf, "date", T.DateType(), mode))
+        .when(kind == "BINARY", binary)
+    )
+
+
 def _canonical_leaf(leaf: Column) -> Column:
     """Canonical JSON of a VARIANT scalar."""
     from docquarry.functions.values import canonical_double_text
@@ -139,26 +171,54 @@ def _canonical_leaf(leaf: Column) -> Column:
         F.when(kind == "BIGINT", wrapped(int_key, text))
         .when(kind == "STRING", _quoted(text, leaf))
         .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), wrapped(F.lit("Double"), number))
-        .otherwise(F.to_json(leaf))
+        .otherwise(F.coalesce(_typed_leaf(leaf, kind, "canonical"), F.to_json(leaf)))
     )
 
 
-def canonical_json(value: Column, depth: int = dt.DEFAULT_DEPTH, limit: int | None = None) -> Column:
-    """Canonical JSON text of a VARIANT that came from JSON text.
+def _readable_leaf(leaf: Column, mode: str) -> Column:
+    """Plain or relaxed JSON of a VARIANT scalar."""
+    from docquarry.functions.values import canonical_double_text
 
-    Whole numbers that fit 32 bits become ``$numberInt``, larger ones ``$numberLong``, all other
-    numbers ``$numberDouble``.  Text is built on the way down; unlike cells, documents are mostly
-    leaves, so the shorter way through a leaf pays for the leaf rules standing in every level.
+    kind, number = F.schema_of_variant(leaf), F.try_variant_get(leaf, "$", "double")
+    endless = kind.rlike("^(DOUBLE|FLOAT)") & (F.isnan(number) | (F.abs(number) == float("inf")))
+    wrapped = F.concat(F.lit('{"$numberDouble":"'), canonical_double_text(number), F.lit('"}'))
+    return (
+        F.when(endless, F.lit("null") if mode == "plain" else wrapped)
+        .otherwise(F.coalesce(_typed_leaf(leaf, kind, mode), F.to_json(leaf)))
+    )
+
+
+def readable_json(value: Column, mode: str) -> Column:
+    """Plain or relaxed JSON text of a VARIANT.
+
+    Only a value whose schema names an instant, bytes or a double is walked; all others print as they are.
     """
+    walked = F.schema_of_variant(value).rlike("TIMESTAMP|DATE|BINARY|DOUBLE|FLOAT")
+    return F.when(walked, _walk_json(value, lambda leaf: _readable_leaf(leaf, mode))).otherwise(F.to_json(value))
+
+
+def _walk_json(value: Column, leaf_json, depth: int = dt.DEFAULT_DEPTH, limit: int | None = None) -> Column:
+    """JSON text of a VARIANT, built on the way down; leaves are written by ``leaf_json``."""
     limit = depth if limit is None else limit
     parts = _parts(value, split_objects=True)
     if depth == 0:
-        return F.when(parts.isNotNull(), dt.too_deep(limit)).otherwise(_canonical_leaf(value))
+        return F.when(parts.isNotNull(), dt.too_deep(limit)).otherwise(leaf_json(value))
 
     def piece(part: Column) -> Column:
         item = part["item"]
-        inner = F.when(item.isNull(), "").otherwise(canonical_json(item, depth - 1, limit))
+        inner = F.when(item.isNull(), "").otherwise(_walk_json(item, leaf_json, depth - 1, limit))
         return F.concat(part["mark"], inner)
 
-    text = F.coalesce(F.array_join(F.transform(parts, piece), ""), _canonical_leaf(value))
+    text = F.coalesce(F.array_join(F.transform(parts, piece), ""), leaf_json(value))
     return F.when(value.isNotNull(), text) if depth == limit else text
+
+
+def canonical_json(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
+    """Canonical JSON text of a VARIANT.
+
+    Whole numbers that fit 32 bits become ``$numberInt``, larger ones ``$numberLong``, all other
+    numbers ``$numberDouble`` (a decimal from JSON text cannot be told from any other).  Unlike cells,
+    documents are mostly leaves, so the shorter way through a leaf pays for the leaf rules standing in
+    every level.
+    """
+    return _walk_json(value, _canonical_leaf, depth)

@@ -46,24 +46,53 @@ def _keep(value: Column, dtype: T.DataType, wanted: dict) -> Column | None:
             return None
         return F.transform(value, lambda x: _keep(x, dtype.elementType, wanted))
     if isinstance(dtype, T.MapType):
-        names = [F.lit(n) for n in wanted]
-        return F.map_filter(value, lambda k, _: k.isin(*names))
+        return _keep_entries(value, dtype, wanted)
     if isinstance(dtype, T.VariantType):
         return _keep_variant(value, wanted)
     return None
 
 
+def _keep_entries(value: Column, dtype: T.MapType, wanted: dict) -> Column | None:
+    """The wanted entries of a map, each cut to the names below it."""
+    names = [F.lit(n) for n in wanted]
+    kept = F.map_filter(value, lambda k, _: k.isin(*names))
+    if not any(wanted.values()):
+        return kept
+    below = list(wanted.values())
+    if all(inner == below[0] for inner in below):
+        if _keep(F.lit(None), dtype.valueType, below[0]) is None:
+            return None
+        return F.transform_values(kept, lambda _, v: _keep(v, dtype.valueType, below[0]))
+    if isinstance(dtype.valueType, T.VariantType):
+
+        def cut(key: Column, entry: Column) -> Column:
+            result = F.lit(None).cast("variant")
+            for name, inner in wanted.items():
+                result = F.when(key == name, _keep_variant(entry, inner) if inner else entry).otherwise(result)
+            return result
+
+        return F.transform_values(kept, cut)
+    raise ValueError("entries of one map share a type; list the same fields below each of its keys")
+
+
 def _keep_variant(value: Column, wanted: dict) -> Column:
-    """VARIANT object with only the wanted fields; absent fields stay absent."""
+    """VARIANT object with only the wanted fields; absent fields stay absent and NULL stays NULL."""
     keys, kept = [], []
     for name, inner in wanted.items():
         child = F.try_variant_get(value, variant_path([name]), "variant")
-        if inner:
-            child = F.when(dt.as_object(child).isNotNull(), _keep_variant(child, inner))
         keys.append(F.lit(name))
-        kept.append(child)
+        kept.append(_keep_inside(child, inner) if inner else child)
     fields = F.map_filter(F.map_from_arrays(F.array(*keys), F.array(*kept)), lambda _, v: v.isNotNull())
-    return F.to_variant_object(fields)
+    return F.when(value.isNotNull(), F.to_variant_object(fields))
+
+
+def _keep_inside(child: Column, wanted: dict) -> Column:
+    """A sub-document cut to the wanted fields; of an array, its sub-documents; nothing of a scalar."""
+    documents = F.filter(dt.as_array(child), lambda x: dt.as_object(x).isNotNull())
+    items = F.transform(documents, lambda x: _keep_variant(x, wanted))
+    return F.when(dt.as_object(child).isNotNull(), _keep_variant(child, wanted)).when(
+        items.isNotNull(), F.to_variant_object(items)
+    )
 
 
 def project(df: DataFrame, fields: str | Iterable[str], key: str | None = "_id", doc: str | None = None) -> DataFrame:

@@ -11,13 +11,14 @@ from __future__ import annotations
 import base64
 import datetime as _dt
 import decimal
+import hashlib
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from docquarry.operators.filters import typed_literal, where
-from docquarry.operators.paging import after, keyset_page
+from docquarry.operators.paging import after, keyset_page, sort_docs
 from docquarry.operators.paths import get_path, lookup
 from docquarry.operators.projection import project
 from docquarry.plans.spec import ExportSpec
@@ -25,9 +26,10 @@ from docquarry.sinks.publish import FileOps, OutputExists, prepare, staged_outpu
 from docquarry.sinks.writers import encode, write
 from docquarry.sources.scan import folder_marks
 
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 LEDGER_SCHEMA = (
     "number long, documents long, bytes long, files long, digest long, last_id string, "
-    "query_sha256 string, sort_key string, format string"
+    "query_sha256 string, sort_key string, format string, shape_sha256 string"
 )
 
 
@@ -37,7 +39,11 @@ def cursor_json(value) -> str | None:
         return None
     if isinstance(value, (bytes, bytearray)):
         body = {"$binary": {"base64": base64.b64encode(bytes(value)).decode(), "subType": "00"}}
-    elif isinstance(value, (_dt.datetime, _dt.date)):
+    elif isinstance(value, _dt.datetime):
+        if value.tzinfo is None:
+            raise ValueError("an instant without a zone is no exact cursor")
+        body = {"$date": value.isoformat()}
+    elif isinstance(value, _dt.date):
         body = {"$date": value.isoformat()}
     elif isinstance(value, decimal.Decimal):
         body = {"$numberDecimal": str(value)}
@@ -67,15 +73,63 @@ def key_holder(df: DataFrame, spec: ExportSpec) -> str | None:
     """Column the key is looked up in: none when the key is a column of its own.
 
     A key inside a VARIANT may be a number in one document and text in the next; a cursor would then
-    step over documents, so such a key is refused.
+    step over documents, so such a key is refused.  So is local time, which is another instant in
+    every session zone.
     """
     holder = None if spec.key in df.columns else spec.doc
     dtype = lookup(df, spec.key, holder).dtype
     if dtype is None or isinstance(dtype, T.VariantType):
         raise ValueError(f"the key {spec.key!r} must be a typed field; select it out of the document first")
+    if isinstance(dtype, T.TimestampNTZType):
+        raise ValueError(f"the key {spec.key!r} is local time; cast it to TIMESTAMP first")
     return holder
 
 
+def shape_digest(spec: ExportSpec) -> str:
+    """Digest of what decides the columns and the bytes of the output."""
+    shape = json.dumps([spec.field_list, spec.manifest_digest(), spec.doc, spec.compression])
+    return hashlib.sha256(shape.encode()).hexdigest()
+
+
+def _exact(key: Column, dtype: T.DataType) -> Column:
+    """A key as a value that reaches the driver unchanged in every time zone."""
+    return F.unix_micros(key) if isinstance(dtype, T.TimestampType) else key
+
+
+def _restored(value, dtype: T.DataType):
+    if value is None or not isinstance(dtype, T.TimestampType):
+        return value
+    return _EPOCH + _dt.timedelta(microseconds=value)
+
+
+def key_cut(rest: DataFrame, size: int, key: Column, dtype: T.DataType) -> tuple[object, int] | None:
+    """Key of the ``size``-th document in key order, and how many documents have it or a smaller one.
+
+    Only keys are read and dealt by range.  The driver gets one row for each range; the wanted key is then
+    looked for inside a single range.  None when there are fewer documents.
+    """
+    keys = rest.select(key.alias("k")).where("k IS NOT NULL")
+    ranges = (
+        keys.repartitionByRange("k")
+        .groupBy(F.spark_partition_id().alias("part"))
+        .agg(F.count(F.lit(1)).alias("n"), *(_exact(f("k"), dtype).alias(f.__name__) for f in (F.min, F.max)))
+        .orderBy("part")
+        .collect()
+    )
+    before = 0
+    for found in ranges:
+        if before + found["n"] >= size:
+            break
+        before += found["n"]
+    else:
+        return None
+    low, high = (F.lit(_restored(found[name], dtype)) for name in ("min", "max"))
+    within = keys.where(F.col("k").between(low, high))
+    row = within.orderBy("k").offset(size - before - 1).limit(1).select(_exact(F.col("k"), dtype)).first()
+    cut = _restored(row[0], dtype)
+    return cut, before + within.where(F.col("k") <= F.lit(cut)).count()
+
+
 class Ledger:
     """One small JSON file for each finished step of an export, in a folder of its own.
 
@@ -128,22 +182,23 @@ class Ledger:
                 (F.col("query_sha256") != spec.query_digest())
                 | (F.col("sort_key") != spec.key)
                 | (F.col("format") != spec.format)
+                | (F.col("shape_sha256") != shape_digest(spec))
             ).alias("foreign"),
         ).first()
         if totals["foreign"]:
-            raise ValueError("the state folder belongs to an export with another query, key or format")
+            raise ValueError("the state folder belongs to an export with another query, key, format, field list or manifest")
         if not self.ops.exists(self.output):
             return Progress("create", 0, 0, 0, None)
         if not totals["n"]:
             # Nothing is recorded: a folder that is already there is not ours unless a run was cut short.
             if self.generation == 0 and not spec.overwrite:
-                raise OutputExists(f"output already exists: {self.output}; pass overwrite to replace it")
+                raise OutputExists(f"{self.output} is there already and was not made by this state folder")
             return Progress("recreate", 0, 0, 0, None)
         if not self.intact():
             return Progress("recreate", 0, 0, 0, None)
         last_id = cursor_value(totals["last_id"])
         if last_id is None and totals["documents"] > 0:
-            raise ValueError("cannot resume append safely: progress is recorded but no cursor position")
+            raise ValueError("documents are recorded, but there is no cursor position to go on from")
         return Progress("append", totals["step"] + 1, totals["documents"], totals["bytes"], last_id)
 
     def open(self, spec: ExportSpec) -> Progress:
@@ -163,8 +218,10 @@ class Ledger:
         """Publish the documents of one step and record it; doing it twice leaves one copy."""
         target = self.step_path(number)
         seen = Observation()
-        key = get_path(documents, spec.key, key_holder(documents, spec))
-        counted = documents.observe(seen, F.count(F.lit(1)).alias("documents"), F.max(key).alias("last_id"))
+        holder = key_holder(documents, spec)
+        dtype = lookup(documents, spec.key, holder).dtype
+        last = _exact(F.max(get_path(documents, spec.key, holder)), dtype)
+        counted = documents.observe(seen, F.count(F.lit(1)).alias("documents"), last.alias("last_id"))
         if spec.field_list is not None:
             counted = project(counted, spec.field_list, spec.key, spec.doc)
         with staged_output(self.spark, target, overwrite=True) as staged:
@@ -177,23 +234,34 @@ class Ledger:
             "files": marks["files"] if marks else 0,
             "bytes": marks["bytes"] if marks else 0,
             "digest": marks["digest"] if marks else 0,
-            "last_id": cursor_json(measured["last_id"]),
+            "last_id": cursor_json(_restored(measured["last_id"], dtype)),
             "query_sha256": spec.query_digest(),
             "sort_key": spec.key,
             "format": spec.format,
+            "shape_sha256": shape_digest(spec),
         }
         path = f"{self.folder}/steps/{number:06d}.json"
         write_small_file(self.spark, path, json.dumps(record) + "\n", overwrite=True)
         return record
 
 
+def refuse_unused(spec: ExportSpec) -> None:
+    """A run in steps has no single report and no count of its own; asking for them is an error."""
+    for name in ("report", "count"):
+        if getattr(spec, name):
+            raise ValueError(f"{name} is not available in a run of several steps; read the recorded steps instead")
+
+
 def export_page(df: DataFrame, spec: ExportSpec, page_size: int | None = None) -> Progress:
     """Export the next page and return the progress after it.
 
-    ``page_size`` bounds one call; the spec's ``limit`` bounds the export over all calls.  Without a
-    page size the call exports everything that is left.
+    ``page_size`` is the wanted size of one call; a page goes on to the last document of its last key, so
+    documents with equal keys stay together and none is stepped over.  The spec's ``limit`` bounds the
+    export over all calls exactly.  Without a page size the call exports everything that is left.
+    Documents without a key are in the first page.
     """
     spec.validate()
+    refuse_unused(spec)
     if spec.state_dir is None:
         raise ValueError("a resumable export needs a state folder")
     holder = key_holder(df, spec)
@@ -201,11 +269,19 @@ def export_page(df: DataFrame, spec: ExportSpec, page_size: int | None = None) -
     before = ledger.open(spec)
     remaining = None if spec.limit is None else max(0, spec.limit - before.documents)
     found = where(df, spec.query, spec.doc)
-    if remaining == 0 or (before.last_id is not None and after(found, before.last_id, 1, spec.key, holder).isEmpty()):
+    rest = found if before.last_id is None else after(found, before.last_id, 1, spec.key, holder)
+    if remaining == 0 or (before.last_id is not None and rest.isEmpty()):
         return before
-    size = remaining if page_size is None else page_size if remaining is None else min(page_size, remaining)
-    rest = keyset_page(found, before.last_id, 1, size, 0, spec.key, holder)
-    record = ledger.write_step(before.step, rest, spec)
+    key = get_path(rest, spec.key, holder)
+    whole = None
+    if page_size is not None and (remaining is None or page_size < remaining):
+        whole = key_cut(rest, page_size, key, lookup(rest, spec.key, holder).dtype)
+    if whole is not None and (remaining is None or whole[1] <= remaining):
+        wanted = key <= F.lit(whole[0])
+        page = sort_docs(rest.where(wanted | key.isNull() if before.last_id is None else wanted), {spec.key: 1}, holder)
+    else:
+        page = keyset_page(found, before.last_id, 1, remaining, 0, spec.key, holder)
+    record = ledger.write_step(before.step, page, spec)
     last_id = cursor_value(record["last_id"])
     return Progress(
         before.mode,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if named is None and current is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="docquarry-")
     if current is None:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #: Parts up to this size are read whole by Spark; larger ones are hashed in chunks inside the task.
 WHOLE_PART_BYTES = 256 << 20
 _CHUNK = 8 << 20
+# Names Hadoop and Arrow give the same object store.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 
 
 def _hash_in_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -21,7 +23,8 @@ def _hash_in_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in frame["path"]:
             # Spark writes local paths as file:/x, Arrow expects file:///x.
             uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-            system, inner = fs.FileSystem.from_uri(uri)
+            scheme, rest = uri.split(":", 1)
+            system, inner = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
             state = hashlib.sha256()
             with system.open_input_stream(inner, compression=None) as stream:
                 while chunk := stream.read(_CHUNK):

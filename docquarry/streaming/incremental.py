@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from docquarry.operators.filters import where
 from docquarry.operators.paging import sort_docs
 from docquarry.operators.paths import variant_path
-from docquarry.plans.resumable import Ledger, Progress, key_holder
+from docquarry.plans.resumable import Ledger, Progress, key_holder, refuse_unused
 from docquarry.plans.spec import ExportSpec
 from docquarry.sources.scan import as_documents
 
@@ -39,6 +39,7 @@ class IncrementalExport:
 
     def __post_init__(self):
         self.spec.validate()
+        refuse_unused(self.spec)
         if self.spec.state_dir is None:
             raise ValueError("an incremental export needs a state folder")
         if self.source_format == "jsonl" and self.spec.doc is None:

@@ -26,14 +26,14 @@ M = Manifest.of(["id"])
         ({"limit": 0}, "limit"),
         ({"limit": 2**63}, "limit"),
         ({"skip": -1}, "skip"),
-        ({"sort": "a:up"}, "Invalid sort direction"),
+        ({"sort": "a:up"}, "no sort direction"),
         ({"consistency": "snapshot", "count": True}, "not available with snapshot"),
-        ({"state_dir": "s", "json_mode": "plain", "compression": "gzip"}, "resumable exports support only"),
-        ({"state_dir": "s", "json_mode": "plain", "skip": 1}, "resumable exports support only"),
-        ({"state_dir": "s", "format": "parquet", "manifest": M}, "resumable exports support only"),
-        ({"state_dir": "s", "json_mode": "plain", "sort": "a:1"}, "deterministic sort"),
-        ({"state_dir": "s", "json_mode": "plain", "sort": "_id:-1"}, "deterministic sort"),
-        ({"state_dir": "s"}, "plain JSON mode"),
+        ({"state_dir": "s", "json_mode": "plain", "compression": "gzip"}, "with a state folder writes"),
+        ({"state_dir": "s", "json_mode": "plain", "skip": 1}, "with a state folder writes"),
+        ({"state_dir": "s", "format": "parquet", "manifest": M}, "with a state folder writes"),
+        ({"state_dir": "s", "json_mode": "plain", "sort": "a:1"}, "is sorted by"),
+        ({"state_dir": "s", "json_mode": "plain", "sort": "_id:-1"}, "is sorted by"),
+        ({"state_dir": "s"}, "in plain mode"),
     ],
 )
 def test_incompatible_options(change, message):

@@ -175,7 +175,7 @@ def test_keyset_directions_and_limit(spark):
 def test_keyset_guards(spark):
     assert keyset_spec({"_id": {"$lt": "z"}}, "m", "_id:1") == {"$and": [{"_id": {"$lt": "z"}}, {"_id": {"$gt": "m"}}]}
     assert keyset_spec({}, "m", {"_id": -1}) == {"_id": {"$lt": "m"}}
-    for sort, message in ((None, "no sort"), ("created_at:1", "only a sort by"), ("_id:1,a:1", "only a sort by")):
+    for sort, message in ((None, "without a recorded sort"), ("created_at:1", "only an export sorted by"), ("_id:1,a:1", "only an export sorted by")):
         with pytest.raises(ValueError, match=message):
             keyset_spec({}, "m", sort)
     with pytest.raises(ValueError, match="direction"):

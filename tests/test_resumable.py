@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import shutil
+import time
 from decimal import Decimal
 from glob import glob
 
@@ -25,13 +26,18 @@ def ids(spark, spec, prefix="page-"):
 
 
 @pytest.mark.parametrize(
-    "value", [5, "m", 2.5, Decimal("1.50"), b"\x01", dt.datetime(2024, 1, 2, 3, 4, 5, 678901), None]
+    "value", [5, "m", 2.5, Decimal("1.50"), b"\x01", dt.datetime(2024, 1, 2, 3, 4, 5, 678901, dt.timezone.utc), None]
 )
 def test_cursor_round_trip(value):
-    back = cursor_value(cursor_json(value))
-    if isinstance(value, dt.datetime):
-        value = value.replace(tzinfo=dt.timezone.utc)
-    assert back == value
+    assert cursor_value(cursor_json(value)) == value
+
+
+def test_local_time_is_no_cursor(spark, out):
+    with pytest.raises(ValueError, match="without a zone"):
+        cursor_json(dt.datetime(2024, 1, 2))
+    local = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:00' AS id")
+    with pytest.raises(ValueError, match="local time"):
+        export_page(local, spec_of(out))
 
 
 def test_pages_add_up(spark, out):
@@ -42,6 +48,43 @@ def test_pages_add_up(spark, out):
     assert modes[-1].last_id == 49 and ids(spark, spec) == list(range(50))
 
 
+def test_equal_keys_stay_in_one_page(spark, out):
+    df, spec = spark.createDataFrame([(k,) for k in (1, 1, 1, 2, 2, None)], "id long"), spec_of(out)
+    counts = [export_page(df, spec, 2).documents for _ in range(4)]
+    assert counts == [4, 6, 6, 6]
+    rows = spark.read.schema("id long").json(f"{spec.output}/page-*").collect()
+    assert sorted(str(r.id) for r in rows) == ["1", "1", "1", "2", "2", "None"]
+    bounded = spec_of(out, output=out("bounded"), state_dir=out("bounded-state"), limit=3)
+    assert [export_page(df.where("id > 0"), bounded, 2).documents for _ in range(3)] == [3, 3, 3]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_timestamp_pages_in_every_zone(spark, out, monkeypatch, zone):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        df = spark.sql("SELECT timestamp_micros(1700000000000000 + id * 3600000001) AS id FROM range(6)")
+        spec = spec_of(out)
+        assert [export_page(df, spec, 2).documents for _ in range(5)] == [2, 4, 6, 6, 6]
+        assert len(set(ids(spark, spec))) == len(ids(spark, spec)) == 6
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+
+
+def test_another_shape_is_refused(spark, out):
+    df = spark.range(9).selectExpr("id", "id AS other")
+    export_page(df, spec_of(out, fields="id,other"), 2)
+    with pytest.raises(ValueError, match="field list"):
+        export_page(df, spec_of(out, fields="id"), 2)
+
+
+@pytest.mark.parametrize("option", [{"count": True}, {"report": "r.json"}])
+def test_options_of_a_single_run_are_refused(spark, out, option):
+    with pytest.raises(ValueError, match="several steps"):
+        export_page(spark.range(3), spec_of(out, **option))
+
+
 def test_limit_counts_over_all_calls(spark, out):
     df, spec = spark.range(100), spec_of(out, limit=30)
     assert [export_page(df, spec, 20).documents for _ in range(3)] == [20, 30, 30]
