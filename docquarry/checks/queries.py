@@ -249,7 +249,7 @@ def limit_large(spark, sf):
     """A page too large for one task: taken by stored position instead of a top-k."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     order = "l_extendedprice:-1,l_orderkey:1,l_linenumber:1,l_partkey:1,l_suppkey:1"
-    return page(lines, order, skip=1000, limit=20000, small_page=10000)
+    return page(lines, order, skip=1000, limit=20000)
 
 
 @query("page_topk")
