@@ -31,7 +31,7 @@ from docquarry.llm.kernels import slices, words
 from docquarry.llm.word_table import WordTable
 
 MAGIC = b"DQTOKEN1"
-KNOWN_WORDS = 1_500_000
+KNOWN_WORDS = 1_000_000
 
 
 def _word_ids(definition: str):
@@ -42,10 +42,15 @@ def _word_ids(definition: str):
     tokenizer = Tokenizer.from_str(definition)
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
-        found = [e.ids for e in found]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        # In chunks: the library's results are far larger than the ids that are kept of them.
+        for start in range(0, len(texts), 8192):
+            some = [t.decode("utf-8") for t in texts[start : start + 8192]]
+            found = [e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            count = np.fromiter(map(len, found), np.int64, len(found))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())))
+            counts.append(count)
+        return np.concatenate(ids), np.concatenate(counts)
 
     return encode
 
