@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docquarry.llm.kernels import hash_spans, mix, slices, words
+from docquarry.llm.rows import smallest
 
 BUCKETS = 1 << 20
 TRAIN_ROWS = 12_000
@@ -108,9 +109,8 @@ def train_quality(
     if usable is not None:
         known = known.where(usable)
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-    known = known.withColumn("turn", F.xxhash64("doc_id"))
     # At most `rows` rows of three numbers are broadcast.
-    sample = F.broadcast(known.orderBy("turn", "doc_id").limit(rows))
+    sample = F.broadcast(smallest(known.withColumn("turn", F.xxhash64("doc_id")), "turn", rows))
     examples = docs.select("doc_id", "text").join(sample, "doc_id").select("turn", "label", "text")
     features = examples.mapInArrow(_examples, "turn long, label int, index binary, value binary")
     model = features.repartition(1).sortWithinPartitions("turn", "index").mapInArrow(_train, "weights binary").collect()

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from docquarry.llm.kernels import Words, hash_spans, mix, slices, text_bytes
+from docquarry.llm.rows import smallest, stored
 
 # Base patterns and their order.
 BASE = ("assign", "access", "hex")
@@ -301,9 +302,11 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train_field(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field | None:
     """Train on at most ``texts`` distinct documents that the base patterns may match; None without any."""
     source = docs.select(F.col(text).alias("text")).where("text is not null")
-    some = source.mapInArrow(_suspects, "text string").withColumn("turn", F.xxhash64("text"))
-    some = some.dropDuplicates(["turn"]).orderBy("turn").limit(texts).select("text")
-    windows = some.repartition(8).mapInArrow(_windows, "features binary, tags binary")
+    turns = stored(source.mapInArrow(_suspects, "text string").select(F.xxhash64("text").alias("turn")).distinct(), "turns")
+    # At most `texts` numbers are broadcast; only the texts they stand for move.
+    chosen = F.broadcast(smallest(turns, "turn", texts))
+    some = source.withColumn("turn", F.xxhash64("text")).join(chosen, "turn", "left_semi")
+    windows = some.dropDuplicates(["turn"]).select("text").mapInArrow(_windows, "features binary, tags binary")
     rows = windows.repartition(1).sortWithinPartitions("features", "tags").mapInArrow(_fit, "emit binary, step binary").collect()
     if not rows:
         return None
