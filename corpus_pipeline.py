@@ -13,11 +13,13 @@ from docquarry.llm.exact_dedup import drop_exact_duplicates
 from docquarry.llm.near_dedup import drop_near_duplicates
 from docquarry.llm.piece_codec import default_model, encode_pieces
 from docquarry.llm.quality import drop_low_quality, train_quality
+from docquarry.llm.rows import small_batches
 from docquarry.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier scores a half or more."""
+    small_batches(spark)
     weights = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return drop_low_quality(docs, weights)
 

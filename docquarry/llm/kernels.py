@@ -7,6 +7,7 @@ batches, take a NULL text as an empty one, and never look at a prefix only.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
+
+try:
+    _C = ctypes.CDLL("libc.so.6")
+    _C.malloc_trim  # noqa: B018  other C libraries have no such function
+except (OSError, AttributeError):
+    _C = None
 
 _BYTES = np.arange(256, dtype=np.uint8)
 _SPACE = (_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13))
@@ -52,6 +59,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give memory that a finished task has freed back to the machine; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _C is not None:
+        _C.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded text size, so temporary arrays stay small.
 
@@ -67,6 +81,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+    release()
 
 
 @dataclass

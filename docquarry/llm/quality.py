@@ -18,11 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docquarry.llm.kernels import hash_spans, mix, slices, words
+from docquarry.llm.kernels import hash_spans, mix, release, slices, words
 from docquarry.llm.rows import smallest
 
 BUCKETS = 1 << 20
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 EPOCHS = 3
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2.
 ALPHA, BETA, L1, L2 = 0.6, 1.0, 0.02, 0.1
@@ -86,15 +86,17 @@ class Ftrl:
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model, examples = Ftrl(), []
-    for batch in batches:
-        for label, at, value in zip(*(batch.column(c).to_pylist() for c in ("label", "index", "value"))):
-            at = np.append(np.frombuffer(at, "<i4"), np.int32(BUCKETS))
-            examples.append((at, np.append(np.frombuffer(value, "<f4"), np.float32(1)), float(label)))
+    # The examples stay as they arrived; each is looked at through its buffer.
+    model, examples = Ftrl(), list(batches)
     for _ in range(EPOCHS):
-        for example in examples:
-            model.learn(*example)
+        for batch in examples:
+            for label, at, value in zip(*(batch.column(c) for c in ("label", "index", "value"))):
+                at = np.append(np.frombuffer(at.as_buffer(), "<i4"), np.int32(BUCKETS))
+                value = np.append(np.frombuffer(value.as_buffer(), "<f4"), np.float32(1))
+                model.learn(at, value, float(label.as_py()))
     weights = model.weights(np.arange(BUCKETS + 1)).astype("<f4")
+    del examples, model
+    release()
     yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
 
 

@@ -14,6 +14,7 @@ from docquarry.llm.ngram_lm import ngram_scores, train_ngrams
 from docquarry.llm.piece_codec import default_model, piece_report
 from docquarry.llm.pii import BASE as PII_KINDS, find_pii
 from docquarry.llm.quality import quality_scores, train_quality
+from docquarry.llm.rows import small_batches
 from docquarry.llm.secret_scan import BASE as SECRET_KINDS, find_secrets, train_field
 from docquarry.llm.spans import span_digest
 from docquarry.llm.substring_dedup import repeated_passages
@@ -22,6 +23,7 @@ from docquarry.session import scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docquarry.session import scratch_path
 
@@ -10,6 +10,12 @@ from docquarry.session import scratch_path
 BROADCAST_IDS = 1_000_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Ask Spark for Arrow batches of at most 2,000 rows or 8 MB, as texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read again; this cuts the lineage."""
     path = scratch_path(df.sparkSession, label)
