@@ -64,12 +64,24 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], BASE.index(s[0])))
 
 
+def _edges(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes that begin and that end a run; a run never goes on into the next text."""
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edges = offsets[1:-1]
+    edges = edges[(edges > 0) & (edges < len(inside))]
+    first[edges] = inside[edges]
+    last[edges - 1] = inside[edges - 1]
+    return first, last
+
+
 def _may_have_base(data: np.ndarray, offsets: np.ndarray, column: pa.Array) -> list[bool]:
     """Texts worth a look with the base patterns: none with a match is left out."""
-    stops = np.flatnonzero(~_HEX[data])
-    gaps = np.flatnonzero(np.diff(np.concatenate([[-1], stops, [len(data)]])) > 16)
+    first, last = _edges(_HEX[data], offsets)
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     long_hex = np.zeros(len(offsets), bool)
-    long_hex[np.searchsorted(offsets, np.concatenate([[-1], stops])[gaps] + 1, "right") - 1] = True
+    long_hex[np.searchsorted(offsets, starts[ends - starts >= 16], "right") - 1] = True
     result = []
     for i, text in enumerate(column):
         value = text.as_py() or ""
@@ -79,14 +91,7 @@ def _may_have_base(data: np.ndarray, offsets: np.ndarray, column: pa.Array) -> l
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> Words:
     """Tokens between white space, quotes, brackets and assignment signs."""
-    inside = ~_BREAK[data]
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
-    edges = offsets[1:-1]
-    edges = edges[(edges > 0) & (edges < len(data))]
-    first[edges] = inside[edges]
-    last[edges - 1] = inside[edges - 1]
+    first, last = _edges(~_BREAK[data], offsets)
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     low = _LOWER_AZ[data]
     return Words(hash_spans(low, starts, ends), starts, ends, np.searchsorted(starts, offsets), data)

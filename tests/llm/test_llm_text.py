@@ -8,11 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_samples import ODD, SCHEMA, frame, prose, shingle_set, words
 
 from docquarry.llm import secret_scan
 from docquarry.llm.decontaminate import contained_items, drop_contaminated
+from docquarry.llm.kernels import text_bytes
 from docquarry.llm.ngram_lm import ngram_scores, train_ngrams
 from docquarry.llm.pii import find_pii, luhn, mask_pii, mod97
 from docquarry.llm.quality import drop_low_quality, quality_scores, train_quality
@@ -109,6 +111,19 @@ def test_secret_base_spans(spark):
         assert not base or set(joined(base).split(",")) <= set(found[i].spans.split(","))
 
 
+@pytest.mark.parametrize("texts", [
+    ["see the code", "deadbeefdeadbeef0123 is the digest"], ["cafe", "", "deadbeefdeadbeef", "deadbeefdeadbeef"],
+    ["f" * 15, "f" * 15, "a" * 16], ["a" * 8, "b" * 8, "é" + "c" * 16],
+])
+def test_secret_hex_runs_end_with_their_text(spark, texts):
+    column = pa.array(texts)
+    look = secret_scan._may_have_base(*text_bytes(column), column)
+    assert look == [bool(secret_scan.base_spans(t)) for t in texts]
+    docs = frame(spark, texts).coalesce(1)
+    found = {r.doc_id: [tuple(s) for s in r.found] for r in find_secrets(docs, None).collect()}
+    assert found == {i: [(*s, True) for s in plain_base(t, SECRET_PATTERNS)] for i, t in enumerate(texts)}
+
+
 def test_secret_field_finds_what_patterns_miss(spark):
     docs = frame(spark, secret_texts())
     field = train_field(docs)
