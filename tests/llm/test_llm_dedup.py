@@ -144,6 +144,30 @@ def test_passages_in_many_texts_link_all(spark, monkeypatch):
     assert repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def best_window(a, b):
+    """Whether 50 words or more of two equally placed passages have an identity of 0.8."""
+    same = np.concatenate([[0], np.cumsum([x == y for x, y in zip(a, b)])])
+    return any(5 * (same[j] - same[i]) >= 4 * (j - i) for i in range(len(a)) for j in range(i + 50, len(a) + 1))
+
+
+def test_fuzzy_passages_are_found(spark):
+    rng = random.Random(4)
+    texts, expected = [], set()
+    around = prose(800, 41, 60, 90)
+    for kind in [1 / 10, 3 / 20, 1 / 5] * 40 + [5, 8, 10] * 10:
+        passage = prose(1, len(texts) + 1000, 60, 61)[0].split()
+        change = (lambda k: k % kind == kind - 1) if kind > 1 else (lambda k: rng.random() < kind)
+        fuzzy = [f"x{rng.randrange(10**9)}" if change(k) else w for k, w in enumerate(passage)]
+        if best_window(passage, fuzzy):
+            expected.add((len(texts) + 1, len(texts)))
+        for one in (passage, fuzzy):
+            before, after = around[len(texts)], around[len(texts) + 400]
+            texts.append(f"{before} {' '.join(one)} {after}")
+    found = repeated_passages(frame(spark, texts)).collect()
+    assert {(r.doc_id, r.partner_id) for r in found} == expected and len(expected) > 100
+    assert all(r.n_words >= 50 and r.identity >= 0.8 for r in found)
+
+
 def plain_chain(found):
     """Best score of a chain by all pairs."""
     found = sorted(found)
