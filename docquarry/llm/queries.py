@@ -14,6 +14,7 @@ from docquarry.llm.ngram_lm import ngram_scores, train_ngrams
 from docquarry.llm.piece_codec import default_model, piece_report
 from docquarry.llm.pii import BASE as PII_KINDS, find_pii
 from docquarry.llm.quality import quality_scores, train_quality
+from docquarry.llm.quality_rules import quality_rules
 from docquarry.llm.rows import small_batches
 from docquarry.llm.secret_scan import BASE as SECRET_KINDS, find_secrets, train_field
 from docquarry.llm.spans import span_digest
@@ -79,6 +80,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(find_secrets(docs, train_field(docs)), "doc_id", SECRET_KINDS)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secrets": op10_secrets,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
