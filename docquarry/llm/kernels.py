@@ -114,12 +114,12 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return result
 
 
-def words(column: pa.Array, lower: bool = True) -> Words:
-    """Split and hash all texts of a column; ``lower`` lower-cases A-Z first."""
+def words(column: pa.Array, lower: bool = True, gaps: np.ndarray = _SPACE) -> Words:
+    """Split and hash all texts of a column; ``lower`` lower-cases A-Z first, ``gaps`` marks the bytes between words."""
     data, offsets = text_bytes(column)
     if lower:
         data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~gaps[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

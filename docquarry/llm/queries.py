@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docquarry.llm.decontaminate import contained_items
 from docquarry.llm.exact_dedup import exact_groups
+from docquarry.llm.hard_negatives import hard_negatives
 from docquarry.llm.near_dedup import near_groups
 from docquarry.llm.ngram_lm import ngram_scores, train_ngrams
 from docquarry.llm.piece_codec import default_model, piece_report
@@ -80,6 +81,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(find_secrets(docs, train_field(docs)), "doc_id", SECRET_KINDS)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), anchor=F.col("vec_id") % 100 == 0)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secrets": op10_secrets,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_quality_rules": op13_quality_rules,
 }
 
@@ -139,4 +147,24 @@ SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(lowered) AS text_sha256
         FROM (SELECT doc_id, {_LOWERED} AS lowered FROM documents)
         WINDOW same AS (PARTITION BY lowered)""",
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   list_inner_product(a.vector, b.vector)::BIGINT AS score
+            FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
 }

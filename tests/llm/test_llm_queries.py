@@ -13,7 +13,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     result = QUERIES[name](spark, sf_dir)
     names = sorted(result.columns)
@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 11), 12, 13]
 
 
 def test_pipeline_stages(spark, sf_dir, out):
