@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from docquarry.llm.decontaminate import contained_items
 from docquarry.llm.exact_dedup import exact_groups
 from docquarry.llm.hard_negatives import hard_negatives
+from docquarry.llm.lexical_search import ranked_search
 from docquarry.llm.near_dedup import near_groups
 from docquarry.llm.ngram_lm import ngram_scores, train_ngrams
 from docquarry.llm.piece_codec import default_model, piece_report
@@ -81,6 +82,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(find_secrets(docs, train_field(docs)), "doc_id", SECRET_KINDS)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secrets": op10_secrets,
+    "op11_lexical_search": op11_lexical_search,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_quality_rules": op13_quality_rules,
 }
@@ -110,6 +116,8 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+')"
 
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 
 def _grams(words: str, size: str) -> str:
     """Distinct runs of words as a list; all words, where there are fewer."""
@@ -147,6 +155,22 @@ SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(lowered) AS text_sha256
         FROM (SELECT doc_id, {_LOWERED} AS lowered FROM documents)
         WINDOW same AS (PARTITION BY lowered)""",
+    "op11_lexical_search": rf"""
+        WITH held AS (
+            SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents)
+            GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM held GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals),
+        asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+        scores AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (doc_id), totals
+            GROUP BY item_id, doc_id)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 50""",
     "op12_hard_negatives": """
         WITH rows AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
