@@ -35,6 +35,32 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_documents(events.select(F.col("event_id").alias("_id"), F.expr(_MIXED).alias("text")), "text")
 
 
+# Chains of sub-documents 3, 12 or 40 levels deep, with a document at the end.
+_DEPTH = "CASE event_id % 3 WHEN 0 THEN 3 WHEN 1 THEN 12 ELSE 40 END"
+_DEEP = f"""concat(
+    repeat('{{"n":', {_DEPTH}), '{{"id":', event_id, ',"list":[', value, ',["', event_type, '",null,', user_id, ']]}}',
+    repeat('}}', {_DEPTH}))"""
+
+
+def deep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(_id, doc VARIANT)``: documents that nest up to 40 levels."""
+    events = table(spark, sf_dir, "events")
+    return as_documents(events.select(F.col("event_id").alias("_id"), F.expr(_DEEP).alias("text")), "text")
+
+
+def wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(_id, doc VARIANT)``: one document a supplier, with up to 35,000 different paths in all of them."""
+    lines = table(spark, sf_dir, "lineitem")
+    cells = lines.groupBy("l_suppkey", "l_linenumber", F.pmod("l_orderkey", F.lit(5000)).alias("part")).agg(
+        F.sum(F.col("l_quantity").cast("long")).alias("quantity")
+    )
+    inner = F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("p"), "part"), "quantity")))
+    groups = cells.groupBy("l_suppkey", "l_linenumber").agg(inner.alias("parts"))
+    whole = F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("g"), "l_linenumber"), "parts")))
+    docs = groups.groupBy("l_suppkey").agg(whole.alias("doc"))
+    return docs.select(F.col("l_suppkey").alias("_id"), F.to_variant_object("doc").alias("doc"))
+
+
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed nested documents: one for each order, with every common value type."""
     orders = table(spark, sf_dir, "orders")

@@ -95,6 +95,12 @@ _RETRYABLE = _by_kind("true", "false", "false", "true", "true", "true", "true",
 _DELAY = _by_kind("5", "NULL", "NULL", "10", "1", "30", "5", "5")
 _EXIT = _by_kind("4", "1", "5", "6", "1", "2", "1", "1")
 
+_DEEP = "CASE event_id % 3 WHEN 0 THEN 3 WHEN 1 THEN 12 ELSE 40 END"
+_EVENT_DOUBLE = f"CASE WHEN {_digits('value')} LIKE '%.%' THEN {_digits('value')} ELSE {_digits('value')} || '.0' END"
+_WIDE = """SELECT l_suppkey, 'g' || l_linenumber || '.p' || (l_orderkey % 5000) AS path,
+    sum(CAST(trunc(l_quantity) AS BIGINT)) AS quantity FROM lineitem GROUP BY ALL"""
+_WIDE_PATHS = f"SELECT path, row_number() OVER (ORDER BY path) - 1 AS position FROM (SELECT DISTINCT path FROM ({_WIDE}))"
+
 _PLAIN_ORDER = """'{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus
     || '","o_orderpriority":"' || o_orderpriority || '"}'"""
 
@@ -212,6 +218,16 @@ SQL: dict[str, str] = {
     "'placed', 'tags', 'raw', 'shard', 'closed']) AS path FROM orders",
     "infer_manifest": "SELECT DISTINCT path, 'string' AS kind, TRUE AS nullable, "
     f"(SELECT count(*) FROM events) AS sample_size FROM ({_LEAVES})",
+    "discover_deep": f"SELECT path, count(*) AS documents FROM (SELECT repeat('n.', {_DEEP}) || unnest(['id', 'list']) AS path "
+    "FROM events) GROUP BY path",
+    "manifest_wide": f"SELECT position, path, 'string' AS kind, TRUE AS nullable FROM ({_WIDE_PATHS})",
+    "flatten_wide": f"""WITH held AS ({_WIDE}), paths AS ({_WIDE_PATHS}), docs AS (SELECT DISTINCT l_suppkey FROM lineitem)
+        SELECT l_suppkey AS _id, CAST(count(*) AS INTEGER) AS cells,
+            sha256(string_agg(COALESCE(CAST(quantity AS VARCHAR), ''), ',' ORDER BY position)) AS line_sha256
+        FROM docs CROSS JOIN paths LEFT JOIN held USING (l_suppkey, path) GROUP BY l_suppkey""",
+    "json_canonical_deep": f"""SELECT event_id AS _id, repeat('{{"n":', {_DEEP}) || '{{"id":{{"$numberInt":"' || event_id
+        || '"}},"list":[{{"$numberDouble":"' || {_EVENT_DOUBLE} || '"}},["' || event_type || '",null,{{"$numberInt":"'
+        || user_id || '"}}]]}}' || repeat('}}', {_DEEP}) AS text FROM events""",
     "missing_fields": "SELECT position, path FROM (VALUES (0, 'user.id'), (1, 'user'), (2, 'user.phone'), "
     "(3, 'tag.name'), (4, 'extra'), (5, 'extra.note'), (6, 'no.such.path')) AS w(position, path) "
     f"WHERE path NOT IN (SELECT path FROM ({_LEAVES}))",

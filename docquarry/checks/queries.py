@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from docquarry.checks.fixtures import log_messages, mixed_documents, order_documents, table
+from docquarry.checks.fixtures import (
+    deep_documents,
+    log_messages,
+    mixed_documents,
+    order_documents,
+    table,
+    wide_documents,
+)
 from docquarry.functions import (
     document_json,
     error_category,
@@ -28,9 +35,11 @@ from docquarry.operators import (
     error_stats,
     export_stats,
     flatten,
+    flatten_cells,
     get_path,
     infer_manifest,
     keyset_page,
+    manifest_table,
     missing_fields,
     page,
     path_coverage,
@@ -298,6 +307,25 @@ def infer_manifest_rows(spark, sf):
     return spark.createDataFrame(rows, "path string, kind string, nullable boolean, sample_size long")
 
 
+@query("discover_deep")
+def discover_deep(spark, sf):
+    return path_coverage(deep_documents(spark, sf), "doc")
+
+
+@query("manifest_wide")
+def manifest_wide(spark, sf):
+    return manifest_table(wide_documents(spark, sf), scratch_path(spark, "manifest"), "doc")
+
+
+@query("flatten_wide")
+def flatten_wide(spark, sf):
+    """Documents with tens of thousands of paths, flattened by a manifest that is a table."""
+    docs = wide_documents(spark, sf)
+    flat = flatten_cells(docs, manifest_table(docs, scratch_path(spark, "manifest"), "doc"), "doc")
+    text = F.array_join("cells", ",", "")
+    return flat.select("_id", F.size("cells").alias("cells"), F.sha2(text.cast("binary"), 256).alias("line_sha256"))
+
+
 WANTED = ["user.id", "user", "user.phone", "tag.name", "extra", "extra.note", "no.such.path"]
 
 
@@ -436,6 +464,12 @@ def json_canonical_mixed(spark, sf):
     return _read_json(text, paths, "_id")
 
 
+@query("json_canonical_deep")
+def json_canonical_deep(spark, sf):
+    docs = deep_documents(spark, sf)
+    return docs.select("_id", document_json(docs, "canonical", "doc").alias("text"))
+
+
 @query("json_modes_variant")
 def json_modes_variant(spark, sf):
     """Instants, bytes and endless numbers inside a VARIANT, in all three modes."""

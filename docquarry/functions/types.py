@@ -22,9 +22,6 @@ MAX_KEY = "$maxKey"
 DB_POINTER = "$dbPointer"
 WRAPPER_KEYS = (OID, REGEX, TIMESTAMP, SYMBOL, CODE, MIN_KEY, MAX_KEY, DB_POINTER)
 
-#: Levels of nesting unrolled into one expression when a VARIANT is walked.
-DEFAULT_DEPTH = 8
-
 
 def wrapper_of(dtype: T.DataType) -> str | None:
     """Wrapper key of a struct type, or None for an ordinary sub-document or scalar."""
@@ -63,8 +60,3 @@ def as_object(value: Column) -> Column:
 def as_array(value: Column) -> Column:
     """VARIANT as an array of VARIANT, NULL unless it is an array."""
     return F.try_variant_get(value, "$", "array<variant>")
-
-
-def too_deep(depth: int) -> Column:
-    """Fail the query instead of cutting off a value nested below ``depth``."""
-    return F.raise_error(F.lit(f"document nests deeper than {depth} levels; pass a larger depth"))

@@ -126,7 +126,7 @@ def wrapper_text(value: Column, key: str) -> Column:
     return F.when(value.isNotNull(), text)
 
 
-def render(value: Column, dtype: T.DataType, depth: int = dt.DEFAULT_DEPTH) -> Column:
+def render(value: Column, dtype: T.DataType) -> Column:
     """Value of any document type as cell text; NULL for missing and null."""
     from docquarry.functions.jsonmodes import embedded_json
     from docquarry.functions.variants import render_variant
@@ -142,10 +142,10 @@ def render(value: Column, dtype: T.DataType, depth: int = dt.DEFAULT_DEPTH) -> C
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return rfc3339(value, dtype)
     if isinstance(dtype, T.ArrayType):
-        cells = F.transform(value, lambda x: F.coalesce(render(x, dtype.elementType, depth), F.lit("")))
+        cells = F.transform(value, lambda x: F.coalesce(render(x, dtype.elementType), F.lit("")))
         return F.concat(F.lit("["), F.array_join(cells, ","), F.lit("]"))
     if isinstance(dtype, T.VariantType):
-        return render_variant(value, depth)
+        return render_variant(value)
     if dt.wrapper_of(dtype):
         return wrapper_text(value, dt.wrapper_of(dtype))
     if isinstance(dtype, (T.StructType, T.MapType)):

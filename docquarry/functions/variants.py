@@ -1,19 +1,28 @@
-"""Text of VARIANT values.
+"""Text of VARIANT values, whatever their nesting.
 
-For a cell, a value is first laid out as a flat array of tokens: punctuation, and leaves in between.
-Only that small step is recursive, so nesting costs a few nodes a level in the expression, and the
-rules for a leaf appear once.
+A value is laid out as a flat array of tokens: text that is finished, and containers that are still closed.
+Each round opens every closed container one level, and a row goes through as many rounds as its own nesting asks
+for.  So the expression has one copy of each rule, however deep a document is, and nothing is cut or refused.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F, types as T
 
 from docquarry.functions import types as dt
 
-_NO_VALUE = "variant"
 # Fixed value: text that JSON writes between quotes without any escape.
 _PLAIN_TEXT = r"^[ !#-\[\]-~]*$"
+# Brackets of a schema text (quoted names are skipped) and of a JSON text (strings are skipped).
+_SCHEMA_MARKS = "`[^`]*+`|[<>]"
+_JSON_MARKS = r'"(?:[^"\\]++|\\.)*+"|[\[\]{}]'
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _quoted(text: Column, value: Column) -> Column:
@@ -21,65 +30,99 @@ def _quoted(text: Column, value: Column) -> Column:
     return F.when(text.rlike(_PLAIN_TEXT), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.to_json(value))
 
 
-def _token(mark: Column, value: Column | None = None) -> Column:
-    leaf = F.lit(None).cast(_NO_VALUE) if value is None else value
-    kind = F.lit(None).cast("string") if value is None else F.schema_of_variant(value)
-    return F.struct(mark.alias("mark"), leaf.alias("leaf"), kind.alias("kind"))
+def _nesting(text: Column, marks: str) -> Column:
+    """Greatest number of open brackets in a text."""
+    step = lambda m: F.when(m.isin("<", "[", "{"), 1).when(m.isin(">", "]", "}"), -1).otherwise(0)
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
+    def count(state: Column, mark: Column) -> Column:
+        now = state["now"] + step(mark)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
 
-def _part(mark: Column, item: Column | None = None) -> Column:
-    item = F.lit(None).cast(_NO_VALUE) if item is None else item
-    return F.struct(mark.alias("mark"), item.alias("item"))
+    return F.aggregate(F.regexp_extract_all(text, F.lit(marks), F.lit(0)), start, count, lambda s: s["most"])
 
 
-def _bracketed(opening: str, parts: Column, closing: str) -> Column:
-    return F.concat(F.array(_part(F.lit(opening))), parts, F.array(_part(F.lit(closing))))
+def _schema_nesting(schema: Column) -> Column:
+    """Rounds that open everything a schema text names; a few rounds too many cost less than the exact number."""
 
+    def rounds(text: Column) -> Column:
+        brackets = F.length(text) - F.length(F.replace(text, F.lit("<"), F.lit("")))
+        return F.when(brackets <= 6, brackets).otherwise(_nesting(text, _SCHEMA_MARKS))
 
-def _comma(position: Column) -> Column:
-    return F.when(position == 0, "").otherwise(",")
+    return bound(schema, rounds)
 
 
-def _parts(value: Column, split_objects: bool) -> Column:
-    """Brackets, separators and children of a container; NULL for a leaf."""
-    items = _bracketed("[", F.transform(dt.as_array(value), lambda x, i: _part(_comma(i), x)), "]")
-    if not split_objects:
-        return items
+def _rounds(tokens: Column, n: Column, open_up: Callable[[Column], Column]) -> Column:
+    """Tokens after ``n`` rounds of opening."""
+    counter = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(counter, tokens, lambda found, _: F.flatten(F.transform(found, open_up)))
 
-    def field(entry: Column, position: Column) -> Column:
-        key = entry["key"]
-        return _part(F.concat(_comma(position), _quoted(key, key.cast("variant")), F.lit(":")), entry["value"])
 
-    return F.coalesce(items, _bracketed("{", F.transform(F.map_entries(dt.as_object(value)), field), "}"))
+def opened(value: Column, start: Column, open_up: Callable[[Column], Column]) -> Column:
+    """Tokens of a VARIANT after all its containers were opened.
 
+    ``start`` is the first token array and ``open_up`` turns a token into the tokens it opens to; a token is a struct with a
+    field ``item`` that is NULL once it is finished.  The schema of the value tells how many rounds are
+    needed, except below arrays of mixed content; what is still closed then is measured on its JSON text.
+    """
+    first = _rounds(start, _schema_nesting(F.schema_of_variant(value)), open_up)
 
-def tokens(value: Column, depth: int, limit: int | None = None) -> Column:
-    """Tokens of a VARIANT array; everything else, objects too, is a single leaf.
+    def rest(tokens: Column) -> Column:
+        closed = F.filter(tokens, lambda t: t["item"].isNotNull())
+        deepest = F.array_max(F.transform(closed, lambda t: _nesting(F.to_json(t["item"]), _JSON_MARKS)))
+        return F.when(F.size(closed) > 0, _rounds(tokens, deepest, open_up)).otherwise(tokens)
 
-    A leaf is what gives no parts, so the cast that tests for a container is also the one that opens
-    it and each level is cast once.
-    """
-    limit = depth if limit is None else limit
-    parts, alone = _parts(value, split_objects=False), F.array(_token(F.lit(""), value))
-    if depth == 0:
-        return F.when(parts.isNotNull(), dt.too_deep(limit)).otherwise(alone)
+    return bound(first, rest)
+
+
+def _token(mark: Column, item: Column | None = None, shut: Column | None = None) -> Column:
+    item = F.lit(None).cast("variant") if item is None else item
+    shut = F.lit(None).cast("string") if shut is None else shut
+    return F.struct(mark.alias("mark"), item.alias("item"), shut.alias("shut"))
+
+
+def _shut(kind: Column, objects: bool) -> Column:
+    """Closing bracket of a value that is opened; NULL for a leaf."""
+    found = F.when(kind.startswith("ARRAY"), "]")
+    return found.when(kind.startswith("OBJECT"), "}") if objects else found
+
+
+def _child_tokens(parts: Column, leaf_text, objects: bool) -> Column:
+    """One token for each child ``(label, value, kind)`` of a container."""
+
+    def token(part: Column, position: Column) -> Column:
+        value, shut = part["value"], _shut(part["kind"], objects)
+        text = F.when(shut == "]", "[").when(shut == "}", "{") if objects else F.when(shut == "]", "[")
+        text = text.otherwise(F.coalesce(leaf_text(value, part["kind"]), F.lit("")))
+        mark = F.concat(F.when(position == 0, "").otherwise(","), part["label"], text)
+        return _token(mark, F.when(shut.isNotNull(), value), shut)
 
-    def below(part: Column) -> Column:
-        mark = F.array(_token(part["mark"]))
-        inner = tokens(part["item"], depth - 1, limit)
-        return F.when(part["item"].isNull(), mark).otherwise(F.concat(mark, inner))
+    return F.transform(parts, token)
 
-    return F.coalesce(F.flatten(F.transform(parts, below)), alone)
 
+def _part(label: Column, value: Column) -> Column:
+    return F.struct(label.alias("label"), value.alias("value"), F.schema_of_variant(value).alias("kind"))
 
-def join_tokens(laid_out: Column, leaf_text) -> Column:
-    """Concatenate tokens, writing each leaf with ``leaf_text(value, kind)``; a NULL text is empty."""
 
-    def text(token: Column) -> Column:
-        written = F.coalesce(leaf_text(token["leaf"], token["kind"]), F.lit(""))
-        return F.when(token["leaf"].isNull(), token["mark"]).otherwise(written)
+def _walked(value: Column, leaf_text, objects: bool) -> Column:
+    """Text of a VARIANT: brackets, commas and names as in JSON, leaves written by ``leaf_text(value, kind)``."""
 
-    return F.array_join(F.transform(laid_out, text), "")
+    def open_up(token: Column) -> Column:
+        item = token["item"]
+        inside = F.transform(dt.as_array(item), lambda x: _part(F.lit(""), x))
+        if objects:
+            label = lambda key: F.concat(_quoted(key, key.cast("variant")), F.lit(":"))
+            fields = F.transform(F.map_entries(dt.as_object(item)), lambda e: _part(label(e["key"]), e["value"]))
+            inside = F.when(token["shut"] == "}", fields).otherwise(inside)
+        children = _child_tokens(inside, leaf_text, objects)
+        whole = F.concat(F.array(_token(token["mark"])), children, F.array(_token(token["shut"])))
+        return F.when(item.isNull(), F.array(token)).otherwise(whole)
+
+    def text(value: Column) -> Column:
+        start = _child_tokens(F.array(_part(F.lit(""), value)), leaf_text, objects)
+        return F.array_join(F.transform(opened(value, start, open_up), lambda t: t["mark"]), "")
+
+    return bound(value, text)
 
 
 def needs_walk(kind: Column, text: Column) -> Column:
@@ -93,9 +136,10 @@ def _cast_text(value: Column, kind: Column) -> Column:
     from docquarry.functions.values import plain_number_text
 
     text = F.try_variant_get(value, "$", "string")
+    number = lambda text: F.replace(plain_number_text(text), F.lit("Infinity"), F.lit("inf"))
     return (
         F.when(kind == "VOID", F.lit(None).cast("string"))
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.replace(plain_number_text(text), F.lit("Infinity"), F.lit("inf")))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), number(text))
         .otherwise(text)
     )
 
@@ -113,17 +157,10 @@ def scalar_text(value: Column, kind: Column) -> Column:
     )
 
 
-def render_variant(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
+def render_variant(value: Column) -> Column:
     """Cell text of a VARIANT: arrays as ``[a,b]``, objects as JSON text, scalars as themselves."""
     absent = value.isNull() | F.is_variant_null(value)
-    return F.when(absent, F.lit(None).cast("string")).otherwise(
-        join_tokens(tokens(value, depth), scalar_text)
-    )
-
-
-def render_variants(values: list[Column], depth: int = dt.DEFAULT_DEPTH) -> Column:
-    """Cell texts of several VARIANTs as one array, from a single copy of the expression."""
-    return F.transform(F.array(*values), lambda x: render_variant(x, depth))
+    return F.when(absent, F.lit(None).cast("string")).otherwise(_walked(value, scalar_text, objects=False))
 
 
 def _instant_leaf(leaf: Column, kind: str, dtype: T.DataType, mode: str) -> Column:
@@ -158,28 +195,29 @@ def _typed_leaf(leaf: Column, kind: Column, mode: str) -> Column:
     )
 
 
-def _canonical_leaf(leaf: Column) -> Column:
+def _canonical_leaf(leaf: Column, kind: Column) -> Column:
     """Canonical JSON of a VARIANT scalar."""
     from docquarry.functions.values import canonical_double_text
 
-    kind, text = F.schema_of_variant(leaf), F.try_variant_get(leaf, "$", "string")
+    text = F.try_variant_get(leaf, "$", "string")
     whole = F.try_variant_get(leaf, "$", "bigint")
     int_key = F.when(whole.between(-(2**31), 2**31 - 1), "Int").otherwise("Long")
-    number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
     wrapped = lambda key, text: F.concat(F.lit('{"$number'), key, F.lit('":"'), text, F.lit('"}'))
+    number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
     return (
-        F.when(kind == "BIGINT", wrapped(int_key, text))
-        .when(kind == "STRING", _quoted(text, leaf))
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), wrapped(F.lit("Double"), number))
+        F.when(kind == "STRING", _quoted(text, leaf))
+        .when(kind == "BIGINT", wrapped(int_key, text))
+        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), wrapped(F.lit("Double"), number))
+        .when(kind.isin("BOOLEAN", "VOID"), F.to_json(leaf))
         .otherwise(F.coalesce(_typed_leaf(leaf, kind, "canonical"), F.to_json(leaf)))
     )
 
 
-def _readable_leaf(leaf: Column, mode: str) -> Column:
+def _readable_leaf(leaf: Column, kind: Column, mode: str) -> Column:
     """Plain or relaxed JSON of a VARIANT scalar."""
     from docquarry.functions.values import canonical_double_text
 
-    kind, number = F.schema_of_variant(leaf), F.try_variant_get(leaf, "$", "double")
+    number = F.try_variant_get(leaf, "$", "double")
     endless = kind.rlike("^(DOUBLE|FLOAT)") & (F.isnan(number) | (F.abs(number) == float("inf")))
     wrapped = F.concat(F.lit('{"$numberDouble":"'), canonical_double_text(number), F.lit('"}'))
     return (
@@ -191,34 +229,18 @@ def _readable_leaf(leaf: Column, mode: str) -> Column:
 def readable_json(value: Column, mode: str) -> Column:
     """Plain or relaxed JSON text of a VARIANT.
 
-    Only a value whose schema names an instant, bytes or a double is walked; all others print as they are.
+    Only a value whose schema names an instant, bytes or a double, or may hide one below an array of mixed
+    content, is walked; all others print as they are.
     """
-    walked = F.schema_of_variant(value).rlike("TIMESTAMP|DATE|BINARY|DOUBLE|FLOAT")
-    return F.when(walked, _walk_json(value, lambda leaf: _readable_leaf(leaf, mode))).otherwise(F.to_json(value))
-
-
-def _walk_json(value: Column, leaf_json, depth: int = dt.DEFAULT_DEPTH, limit: int | None = None) -> Column:
-    """JSON text of a VARIANT, built on the way down; leaves are written by ``leaf_json``."""
-    limit = depth if limit is None else limit
-    parts = _parts(value, split_objects=True)
-    if depth == 0:
-        return F.when(parts.isNotNull(), dt.too_deep(limit)).otherwise(leaf_json(value))
-
-    def piece(part: Column) -> Column:
-        item = part["item"]
-        inner = F.when(item.isNull(), "").otherwise(_walk_json(item, leaf_json, depth - 1, limit))
-        return F.concat(part["mark"], inner)
-
-    text = F.coalesce(F.array_join(F.transform(parts, piece), ""), leaf_json(value))
-    return F.when(value.isNotNull(), text) if depth == limit else text
+    walked = lambda v: F.schema_of_variant(v).rlike("TIMESTAMP|DATE|BINARY|DOUBLE|FLOAT|VARIANT")
+    text = lambda v: _walked(v, lambda leaf, kind: _readable_leaf(leaf, kind, mode), objects=True)
+    return bound(value, lambda v: F.when(walked(v), text(v)).otherwise(F.to_json(v)))
 
 
-def canonical_json(value: Column, depth: int = dt.DEFAULT_DEPTH) -> Column:
+def canonical_json(value: Column) -> Column:
     """Canonical JSON text of a VARIANT.
 
     Whole numbers that fit 32 bits become ``$numberInt``, larger ones ``$numberLong``, all other
-    numbers ``$numberDouble`` (a decimal from JSON text cannot be told from any other).  Unlike cells,
-    documents are mostly leaves, so the shorter way through a leaf pays for the leaf rules standing in
-    every level.
+    numbers ``$numberDouble`` (a decimal from JSON text cannot be told from any other).
     """
-    return _walk_json(value, _canonical_leaf, depth)
+    return bound(value, lambda v: F.when(v.isNotNull(), _walked(v, _canonical_leaf, objects=True)))

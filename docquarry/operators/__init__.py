@@ -2,8 +2,8 @@
 
 from docquarry.operators.discovery import discover_paths, leaf_paths, missing_fields, path_coverage
 from docquarry.operators.filters import combine, condition, where
-from docquarry.operators.flatten import flatten
-from docquarry.operators.manifest import Manifest, infer_manifest
+from docquarry.operators.flatten import flatten, flatten_cells
+from docquarry.operators.manifest import Manifest, infer_manifest, manifest_table
 from docquarry.operators.paging import (
     after,
     count_docs,
@@ -31,12 +31,14 @@ __all__ = [
     "error_stats",
     "export_stats",
     "flatten",
+    "flatten_cells",
     "get_path",
     "infer_manifest",
     "keyset_page",
     "keyset_spec",
     "leaf_paths",
     "limit_docs",
+    "manifest_table",
     "missing_fields",
     "page",
     "parse_field_list",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
 from docquarry.functions.values import render
-from docquarry.functions.variants import needs_walk, render_variants
+from docquarry.functions.variants import needs_walk, render_variant, scalar_text
 from docquarry.operators.manifest import Manifest
 from docquarry.operators.paths import Found, lookup
 
@@ -16,13 +16,14 @@ _VALUE = "__docquarry_value"
 _KIND = "__docquarry_kind"
 _TEXT = "__docquarry_text"
 _WALKED = "__docquarry_walked"
+_PATHS = "__docquarry_paths"
 
 
-def _open_variants(df: DataFrame, found: list[Found], depth: int) -> tuple[DataFrame, dict[int, Column]]:
+def _open_variants(df: DataFrame, found: list[Found]) -> tuple[DataFrame, dict[int, Column]]:
     """Select the looked-up values once; return the text column of each VARIANT cell.
 
-    The text of most cells is a plain cast.  Cells that need more (arrays, doubles, instants) share one
-    copy of the walking expression, so a wide manifest does not multiply it.
+    The text of most cells is a plain cast.  Doubles, instants and bytes have compiled rules of their own;
+    arrays share one copy of the walking expression, which only rows with an array run.
     """
     variants = [i for i, f in enumerate(found) if isinstance(f.dtype, T.VariantType)]
     if not variants:
@@ -32,33 +33,34 @@ def _open_variants(df: DataFrame, found: list[Found], depth: int) -> tuple[DataF
     texts = {f"{_TEXT}{i}": F.try_variant_get(v, "$", "string") for i, v in value.items()}
     kinds = {f"{_KIND}{i}": F.schema_of_variant(v) for i, v in value.items()}
     values = values.withColumns({**texts, **kinds})
-    hard = {i: needs_walk(F.col(f"{_KIND}{i}"), F.col(f"{_TEXT}{i}")) for i in variants}
-    # Only the hard values are handed to the walking expression, the others as NULL.
-    walked = values.withColumn(_WALKED, render_variants([F.when(hard[i], value[i]) for i in variants], depth))
-    cells = {
-        i: F.when(hard[i], F.get(F.col(_WALKED), k)).otherwise(F.col(f"{_TEXT}{i}")) for k, i in enumerate(variants)
+    text, kind = ({i: F.col(f"{name}{i}") for i in variants} for name in (_TEXT, _KIND))
+    array = {i: kind[i].startswith("ARRAY") for i in variants}
+    held = F.array(*[F.when(array[i], value[i]) for i in variants])
+    some = F.concat_ws(",", *kind.values()).contains("ARRAY")
+    cells = F.transform(held, lambda x: F.when(x.isNotNull(), render_variant(x)))
+    walked = values.withColumn(_WALKED, F.when(some, cells))
+    return walked, {
+        i: F.when(array[i], F.get(F.col(_WALKED), k))
+        .when(needs_walk(kind[i], text[i]), scalar_text(value[i], kind[i]))
+        .otherwise(text[i])
+        for k, i in enumerate(variants)
     }
-    return walked, cells
 
 
 def flatten(
-    df: DataFrame,
-    manifest: Manifest | Iterable[str],
-    missing: str = "null",
-    doc: str | None = None,
-    depth: int = dt.DEFAULT_DEPTH,
+    df: DataFrame, manifest: Manifest | Iterable[str], missing: str = "null", doc: str | None = None
 ) -> DataFrame:
     """One string column for each manifest path, in manifest order.
 
     ``missing="null"`` keeps missing and null cells NULL and empty text empty (the Parquet rule);
     ``missing="empty"`` writes all three as empty text (the CSV rule).  Paths are looked up
-    independently, so ``a`` and ``a.b`` may both be columns.
+    independently, so ``a`` and ``a.b`` may both be columns.  For thousands of paths see ``flatten_cells``.
     """
     if missing not in ("null", "empty"):
         raise ValueError("missing must be 'null' or 'empty'")
     paths = manifest.paths if isinstance(manifest, Manifest) else Manifest.of(manifest).paths
     found = [lookup(df, path, doc) for path in paths]
-    source, mixed = _open_variants(df, found, depth)
+    source, mixed = _open_variants(df, found)
     cells = []
     for i, (path, item) in enumerate(zip(paths, found)):
         if item.dtype is None:
@@ -66,7 +68,29 @@ def flatten(
         elif i in mixed:
             cell = mixed[i]
         else:
-            cell = render(F.col(f"{_VALUE}{i}") if mixed else item.value, item.dtype, depth)
+            cell = render(F.col(f"{_VALUE}{i}") if mixed else item.value, item.dtype)
         cell = cell.cast("string")
         cells.append((F.coalesce(cell, F.lit("")) if missing == "empty" else cell).alias(path))
     return source.select(*cells)
+
+
+def flatten_cells(df: DataFrame, manifest: DataFrame, doc: str, cells: str = "cells") -> DataFrame:
+    """The other columns and one array of cell texts, in the order of a manifest table.
+
+    For manifests of any width: the plan holds one rule for all cells instead of one for each.  ``manifest`` has the
+    columns ``position`` and ``path`` (see ``manifest_table``); its paths reach the tasks as one value.  Missing and
+    null cells are NULL.  A path walks VARIANT sub-documents only, as in ``flatten``.
+    """
+    if not isinstance(df.schema[doc].dataType, T.VariantType):
+        raise ValueError(f"{doc} is not a VARIANT column; typed documents name their paths in the schema")
+    steps = F.array_join(F.transform(F.split("path", r"\."), _step), "")
+    row = F.struct("position", F.concat(F.lit("$"), steps).alias("step"))
+    wanted = manifest.agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["step"])).scalar()
+    others = [dt.column(c) for c in df.columns if c != doc]
+    found = F.transform(_PATHS, lambda step: render_variant(F.try_variant_get(dt.column(doc), step, "variant")))
+    return df.withColumn(_PATHS, wanted).select(*others, found.alias(cells))
+
+
+def _step(name: Column) -> Column:
+    quote = F.when(name.contains("'"), '"').otherwise("'")
+    return F.concat(F.lit("["), quote, name, quote, F.lit("]"))

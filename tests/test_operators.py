@@ -6,10 +6,13 @@ from docquarry.operators import (
     count_docs,
     discover_paths,
     flatten,
+    flatten_cells,
     get_path,
     infer_manifest,
     keyset_page,
     keyset_spec,
+    leaf_paths,
+    manifest_table,
     missing_fields,
     page,
     parse_field_list,
@@ -21,8 +24,8 @@ from docquarry.operators import (
 from docquarry.sources import sample
 
 
-def paths(df, doc=None, depth=8):
-    return [r.path for r in discover_paths(df, doc, depth).collect()]
+def paths(df, doc=None):
+    return [r.path for r in discover_paths(df, doc).collect()]
 
 
 # ---- paths and projection ----
@@ -208,11 +211,32 @@ def test_discovery_rules(variant):
     assert dict(path_coverage(docs, "doc").collect()) == {"B": 1, "a": 1, "a.b": 1, "l": 1, "n": 1}
 
 
-def test_discovery_below_the_depth_fails(variant):
-    docs = variant('{"a":{"b":{"c":{"d":1}}}}')
-    assert paths(docs, "doc", 4) == ["a.b.c.d"]
-    with pytest.raises(Exception, match="nests deeper"):
-        paths(docs, "doc", 3)
+def test_discovery_of_any_depth_and_any_name(variant):
+    odd = '{"a<b>":{"c: d,e":{"`q`":[{"x":1}],"":null}},"OBJECT":{"ARRAY":[[1]]},"1":{"日本":2.50},"x.y":{}}'
+    docs = variant('{"n":' * 50 + '{"last":1}' + "}" * 50, odd)
+    expected = sorted([".".join("n" * 50) + ".last", "a<b>.c: d,e.`q`", "a<b>.c: d,e.", "OBJECT.ARRAY", "1.日本"])
+    assert paths(docs, "doc") == expected
+    listed = [set(r[0]) for r in docs.select(leaf_paths(docs, "doc")).collect()]
+    assert set().union(*listed) == set(expected) and listed[0] == {".".join("n" * 50) + ".last"}
+
+
+def test_documents_are_counted_by_shape(variant, plan_of):
+    docs = variant('{"a":1,"b":{"c":"x"}}', '{"a":2,"b":{"c":"y"}}', '{"a":"z"}', "7", "[1]", "null")
+    assert dict(path_coverage(docs, "doc").collect()) == {"a": 3, "b.c": 2}
+    assert infer_manifest(docs, doc="doc").sample_size == 6
+    plan = plan_of(path_coverage(docs, "doc"))
+    tree = plan[: plan.index("\n\n")]
+    assert tree.rindex("HashAggregate") > tree.index("MapInArrow")  # the tree is printed from the top
+
+
+def test_manifest_table_and_cells(spark, variant, out):
+    docs = variant('{"b":{"c":[1,"x"]},"a":1.50}', '{"b":5,"it\'s":null}', "{}").withColumn("k", F.monotonically_increasing_id())
+    table = manifest_table(docs.select("doc"), out("manifest"), "doc")
+    assert [r.path for r in table.orderBy("position").collect()] == ["a", "b", "b.c", "it's"]
+    rows = flatten_cells(docs, table, "doc").orderBy("k").collect()
+    assert [r.cells for r in rows] == [["1.5", '{"c":[1,"x"]}', "[1,x]", None], [None, "5", None, None], [None] * 4]
+    with pytest.raises(ValueError, match="VARIANT"):
+        flatten_cells(spark.range(1), table, "id")
 
 
 def test_typed_discovery_mixes_fixed_and_open_keys(spark):

@@ -12,8 +12,8 @@ from docquarry.functions.variants import render_variant
 from docquarry.operators import flatten
 
 
-def cells(df, depth=8):
-    columns = [render(F.col(f"`{f.name}`"), f.dataType, depth).alias(f.name) for f in df.schema.fields]
+def cells(df):
+    columns = [render(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]
     return df.select(*columns).first()
 
 
@@ -116,11 +116,29 @@ def test_variant_of_typed_values(spark):
     assert tuple(row) == ("2023-11-03T08:26:40.000Z", "0a", "1" + "0" * 30, "nan", "1.5")
 
 
-def test_arrays_nested_beyond_the_depth_fail(variant):
-    docs = variant("[[[[1]]]]")
-    assert docs.select(render_variant(F.col("doc"), 4)).first()[0] == "[[[[1]]]]"
-    with pytest.raises(Exception, match="nests deeper"):
-        docs.select(render_variant(F.col("doc"), 2)).collect()
+def test_no_nesting_is_too_deep(variant):
+    texts = ["[" * 60 + "1" + "]" * 60, '["x",[1,' * 30 + "2" + "]]" * 30, "[[],[[]],1]", '{"a":' * 70 + '["<",{"}":[1.0]}]' + "}" * 70]
+    docs = variant(*texts)
+    cells = [r[0] for r in docs.select(render_variant(F.col("doc"))).collect()]
+    assert cells[:3] == [t.replace('"', "") for t in texts[:3]]
+    canonical = [json.loads(r[0]) for r in docs.select(document_json(docs, "canonical", "doc")).collect()]
+
+    def plain(value):
+        if isinstance(value, list):
+            return [plain(x) for x in value]
+        if isinstance(value, dict) and next(iter(value), "").startswith("$number"):
+            return float(value["$numberDouble"]) if "$numberDouble" in value else int(value["$numberInt"])
+        return {k: plain(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+    assert [plain(c) for c in canonical] == [json.loads(t) for t in texts]
+
+
+def test_instants_below_mixed_arrays(spark):
+    df = spark.sql(
+        "SELECT to_variant_object(named_struct('l', array(parse_json('1'), to_variant_object(named_struct('t', "
+        "timestamp_millis(1699000000000)))))) AS doc"
+    )
+    assert df.select(document_json(df, "plain", "doc")).first()[0] == '{"l":[1,{"t":"2023-11-03T08:26:40.000Z"}]}'
 
 
 def test_plain_json_has_no_wrappers(spark):
