@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docquarry.sources import as_documents, scan
+from docquarry.sources import as_documents, scan, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +31,7 @@ _MIXED = """concat(
 
 def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(_id, doc VARIANT)``: one schemaless document for each event."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return as_documents(events.select(F.col("event_id").alias("_id"), F.expr(_MIXED).alias("text")), "text")
 
 
@@ -44,7 +44,7 @@ _DEEP = f"""concat(
 
 def deep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(_id, doc VARIANT)``: documents that nest up to 40 levels."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return as_documents(events.select(F.col("event_id").alias("_id"), F.expr(_DEEP).alias("text")), "text")
 
 

@@ -131,6 +131,34 @@ _BSON = _bson_document(
 )
 
 
+def _bson_int(name: str, value: str) -> str:
+    return f"'10{_hex(name)}00' || {_le(value, 4)}"
+
+
+def _bson_inside(name: str, body: str, code: str = "03") -> str:
+    return f"'{code}{_hex(name)}00' || {_bson_document('(' + body + ')')}"
+
+
+_MIXED_TAG = f"""CASE WHEN {_TAG_IS_DOC}
+    THEN {_bson_inside('tag', _bson_int('level', 'event_id % 10') + ' || ' + _bson_string('name', 'event_type'))}
+    WHEN {_TAG_IS_LIST} THEN {_bson_inside(
+        'tag', _bson_string('0', 'event_type') + ' || ' + _bson_int('1', 'event_id % 10') + f" || '0A{_hex('2')}00'", '04')}
+    ELSE {_bson_string('tag', 'event_type')} END"""
+_MIXED_USER = f"""{_bson_int('id', 'user_id')} || CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 5 = 0
+    THEN '0A{_hex('type')}00' ELSE {_bson_string('type', 'event_type')} END"""
+_MIXED_EXTRA = f"CASE WHEN event_id % 11 = 0 THEN '' ELSE {_bson_string('note', chr(39) * 2)} END"
+_MIXED_BODY = " || ".join(
+    (
+        _bson_int("event_id", "event_id"),
+        _bson_inside("extra", _MIXED_EXTRA),
+        _bson_inside("props", _bson_int("k", f"CAST({_PROPS_K} AS INTEGER)")),
+        f"({_MIXED_TAG})",
+        _bson_inside("user", _MIXED_USER),
+        f"'01{_hex('value')}00'",
+    )
+)
+
+
 def _cell(value: str) -> str:
     return f"strlen(CAST({value} AS VARCHAR)) || ':' || {value}"
 
@@ -287,10 +315,16 @@ SQL: dict[str, str] = {
     "sink_bson": "SELECT CAST(sum(5 + 19 + 1 + 21 + 1 + (13 + strlen(o_orderstatus) + 7) + "
     "(15 + strlen(o_orderpriority) + 7)) AS BIGINT) AS bytes FROM orders",
     "bson_documents": f"SELECT {_BSON} AS bson FROM orders",
+    # Length, then all fields up to the double: its 8 bytes and the end byte are not compared.
+    "bson_mixed": f"SELECT {_le('length(body) // 2 + 13', 4)} || body AS head FROM (SELECT {_MIXED_BODY} AS body FROM events)",
     "run_report": "SELECT 'orders' AS collection, 'jsonl' AS format, 'plain' AS json_mode, 'best-effort' AS consistency, "
     "count(*) AS documents_expected, count(*) AS documents_exported, "
     f"CAST(sum(strlen({_PLAIN_ORDER}) + 1) AS BIGINT) AS bytes_written FROM orders WHERE o_orderstatus = 'F'",
     "output_digest": f"SELECT CAST(sum(strlen({_PLAIN_ORDER}) + 1) AS BIGINT) AS bytes FROM orders",
+    "resume_report": "SELECT 'shop' AS database, 'orders' AS collection, 'plain' AS json_mode, count(*) AS documents_expected, "
+    f"count(*) AS documents_exported, CAST(sum(strlen({_PLAIN_ORDER}) + 1) AS BIGINT) AS bytes_written, "
+    """CAST(3 AS BIGINT) AS steps, '{"$numberLong": "' || max(o_orderkey) || '"}' AS last_id """
+    "FROM orders WHERE o_orderstatus = 'F'",
     "resume_pages": "SELECT o_orderkey, o_orderstatus FROM orders",
     "stream_resume": "SELECT event_id, user_id, event_type FROM events",
     "stream_progress": "SELECT batch_id, documents, CAST(sum(documents) OVER (ORDER BY batch_id) AS BIGINT) AS "

@@ -600,6 +600,14 @@ def bson_documents(spark, sf):
     return encode_bson(orders).select(F.hex("bson").alias("bson"))
 
 
+@query("bson_mixed")
+def bson_mixed(spark, sf):
+    """Schemaless documents; the last field is a double, whose eight bytes and the end byte are left out here."""
+    docs = mixed_documents(spark, sf)
+    code = F.hex("bson")
+    return encode_bson(docs, "doc").select(F.substring(code, F.lit(1), F.length(code) - 18).alias("head"))
+
+
 @query("run_report")
 def run_report(spark, sf):
     spec = ExportSpec(
@@ -667,6 +675,29 @@ def resume_pages(spark, sf):
     return spark.read.schema("o_orderkey long, o_orderstatus string").json(f"{spec.output}/page-*")
 
 
+@query("resume_report")
+def resume_report(spark, sf):
+    """The report of an export in three calls, made of what each call recorded."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    spec = ExportSpec(
+        output=scratch_path(spark, "reported"),
+        format="jsonl",
+        json_mode="plain",
+        query={"o_orderstatus": "F"},
+        state_dir=scratch_path(spark, "reported-state"),
+        create_dirs=True,
+        key="o_orderkey",
+        count=True,
+        report=f"{scratch_path(spark, 'report')}/run.json",
+    )
+    size = orders.where("o_orderstatus = 'F'").count() // 3 + 1
+    for _ in range(3):
+        export_page(orders, spec, size, "orders", "shop")
+    saved = spark.read.text(spec.report, wholetext=True)
+    columns = "database string, collection string, json_mode string, documents_expected long, documents_exported long"
+    return saved.select(F.from_json("value", f"{columns}, bytes_written long, steps long, last_id string").alias("r")).select("r.*")
+
+
 def _event_stream(spark, sf, format="jsonl"):
     """Events arriving in two lots, exported after each lot and once more without new input."""
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")

@@ -15,13 +15,24 @@ import hashlib
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from docquarry.operators.filters import typed_literal, where
-from docquarry.operators.paging import after, keyset_page, sort_docs
+from docquarry.operators.paging import after, count_docs, keyset_page, sort_docs
 from docquarry.operators.paths import get_path, lookup
 from docquarry.operators.projection import project
+from docquarry.plans.report import (
+    IN_STEPS,
+    PLAIN_JSON,
+    ExportReport,
+    new_run_id,
+    rate,
+    standard_warnings,
+    utc_now,
+)
 from docquarry.plans.spec import ExportSpec
+from docquarry.session import scratch_path
+from docquarry.sinks.digest import output_digest
 from docquarry.sinks.publish import FileOps, OutputExists, prepare, staged_output, write_small_file
 from docquarry.sinks.writers import encode, write
 from docquarry.sources.scan import folder_marks
@@ -29,7 +40,8 @@ from docquarry.sources.scan import folder_marks
 _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 LEDGER_SCHEMA = (
     "number long, documents long, bytes long, files long, digest long, last_id string, "
-    "query_sha256 string, sort_key string, format string, shape_sha256 string"
+    "query_sha256 string, sort_key string, format string, shape_sha256 string, sha256 string, expected long, "
+    "started_at string, finished_at string"
 )
 
 
@@ -102,32 +114,50 @@ def _restored(value, dtype: T.DataType):
     return _EPOCH + _dt.timedelta(microseconds=value)
 
 
+#: Distinct keys that may come to the driver to find a cut among them; more are narrowed down by range first.
+CUT_KEYS = 2_000
+
+
 def key_cut(rest: DataFrame, size: int, key: Column, dtype: T.DataType) -> tuple[object, int] | None:
     """Key of the ``size``-th document in key order, and how many documents have it or a smaller one.
 
-    Only keys are read and dealt by range.  The driver gets one row for each range; the wanted key is then
-    looked for inside a single range.  None when there are fewer documents.
+    Only keys are read, and they are counted in the tasks that read them, so a key that many documents share is one row.
+    The distinct keys are then dealt by range, of which the driver gets one row each, and the range that holds the wanted
+    document is dealt again until it has few keys.  None when there are fewer documents.
     """
-    keys = rest.select(key.alias("k")).where("k IS NOT NULL")
-    ranges = (
-        keys.repartitionByRange("k")
-        .groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), *(_exact(f("k"), dtype).alias(f.__name__) for f in (F.min, F.max)))
-        .orderBy("part")
-        .collect()
-    )
-    before = 0
-    for found in ranges:
-        if before + found["n"] >= size:
+    spark = rest.sparkSession
+    path = scratch_path(spark, "keys")
+    rest.select(key.alias("k")).where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    keys, before = spark.read.parquet(path), 0
+    while True:
+        ranges = (
+            keys.repartitionByRange("k")
+            .groupBy(F.spark_partition_id().alias("part"))
+            .agg(
+                F.count(F.lit(1)).alias("keys"),
+                F.sum("n").alias("n"),
+                *(_exact(f("k"), dtype).alias(f.__name__) for f in (F.min, F.max)),
+            )
+            .orderBy("part")
+            .collect()
+        )
+        for found in ranges:
+            if before + found["n"] >= size:
+                break
+            before += found["n"]
+        else:
+            return None
+        if found["min"] == found["max"]:
+            return _restored(found["min"], dtype), before + found["n"]
+        low, high = (F.lit(_restored(found[name], dtype)) for name in ("min", "max"))
+        keys = keys.where(F.col("k").between(low, high))
+        if found["keys"] <= CUT_KEYS or len(ranges) == 1:
             break
-        before += found["n"]
-    else:
-        return None
-    low, high = (F.lit(_restored(found[name], dtype)) for name in ("min", "max"))
-    within = keys.where(F.col("k").between(low, high))
-    row = within.orderBy("k").offset(size - before - 1).limit(1).select(_exact(F.col("k"), dtype)).first()
-    cut = _restored(row[0], dtype)
-    return cut, before + within.where(F.col("k") <= F.lit(cut)).count()
+    # A range of its own has no more keys than fit, unless the range partitioner could not split it at all.
+    until = F.sum("n").over(Window.orderBy("k")) + before
+    row = keys.withColumn("until", until).where(F.col("until") >= size).orderBy("k")
+    cut = row.select(_exact(F.col("k"), dtype).alias("k"), "until").first()
+    return _restored(cut["k"], dtype), cut["until"]
 
 
 class Ledger:
@@ -185,6 +215,8 @@ class Ledger:
                 | (F.col("shape_sha256") != shape_digest(spec))
             ).alias("foreign"),
         ).first()
+        if totals["foreign"] and spec.overwrite and self.ops.exists(self.output):
+            return Progress("recreate", 0, 0, 0, None)
         if totals["foreign"]:
             raise ValueError("the state folder belongs to an export with another query, key, format, field list or manifest")
         if not self.ops.exists(self.output):
@@ -214,8 +246,12 @@ class Ledger:
         self.ops.make_dirs(self.output)
         return progress
 
-    def write_step(self, number: int, documents: DataFrame, spec: ExportSpec) -> dict:
-        """Publish the documents of one step and record it; doing it twice leaves one copy."""
+    def write_step(self, number: int, documents: DataFrame, spec: ExportSpec, expected: int | None = None) -> dict:
+        """Publish the documents of one step and record it; doing it twice leaves one copy.
+
+        ``expected`` is how many documents the whole run was found to have when the step began.
+        """
+        started = utc_now()
         target = self.step_path(number)
         seen = Observation()
         holder = key_holder(documents, spec)
@@ -239,38 +275,94 @@ class Ledger:
             "sort_key": spec.key,
             "format": spec.format,
             "shape_sha256": shape_digest(spec),
+            "sha256": output_digest(self.spark, target).first()["sha256"],
+            "expected": expected,
+            "started_at": started.isoformat(),
+            "finished_at": utc_now().isoformat(),
         }
         path = f"{self.folder}/steps/{number:06d}.json"
         write_small_file(self.spark, path, json.dumps(record) + "\n", overwrite=True)
         return record
 
 
-def refuse_unused(spec: ExportSpec) -> None:
-    """A run in steps has no single report and no count of its own; asking for them is an error."""
-    for name in ("report", "count"):
-        if getattr(spec, name):
-            raise ValueError(f"{name} is not available in a run of several steps; read the recorded steps instead")
+    def report(self, spec: ExportSpec, collection: str = "", database: str = "") -> ExportReport:
+        """The run so far: a fold over the recorded steps, without reading any output again.
 
-
-def export_page(df: DataFrame, spec: ExportSpec, page_size: int | None = None) -> Progress:
+        Its digest is taken over the digests of the steps in their order.
+        """
+        steps = self.steps()
+        numbered = F.array_sort(F.collect_list(F.struct("number", "sha256")))
+        spent = F.sum(F.unix_millis(F.col("finished_at").cast("timestamp")) - F.unix_millis(F.col("started_at").cast("timestamp")))
+        row = steps.agg(
+            F.count(F.lit(1)).alias("steps"),
+            F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+            F.sha2(F.array_join(F.transform(numbered, lambda x: x["sha256"]), ""), 256).alias("sha256"),
+            F.max_by("expected", "number").alias("expected"),
+            F.max_by("last_id", F.when(F.col("last_id").isNotNull(), F.col("number"))).alias("last_id"),
+            F.min("started_at").alias("started_at"),
+            F.max("finished_at").alias("finished_at"),
+            F.coalesce(spent, F.lit(0)).alias("spent"),
+        ).first()
+        now = utc_now().isoformat()
+        warnings = [IN_STEPS] + ([PLAIN_JSON] if spec.format == "jsonl" else [])
+        return ExportReport(
+            run_id=new_run_id(),
+            started_at=row["started_at"] or now,
+            finished_at=row["finished_at"] or now,
+            collection=collection,
+            format=spec.format,
+            json_mode=spec.reported_json_mode,
+            consistency=spec.consistency,
+            query_sha256=spec.query_digest(),
+            schema_sha256=spec.manifest_digest(),
+            output=spec.output,
+            output_sha256=row["sha256"],
+            bytes_written=row["bytes"],
+            documents_expected=row["expected"],
+            documents_exported=row["documents"],
+            duration_ms=row["spent"],
+            last_id=row["last_id"],
+            warnings=warnings + standard_warnings(row["expected"], row["documents"], spec.consistency),
+            database=database,
+            documents_processed=row["documents"],
+            docs_per_second=rate(row["documents"], row["spent"]),
+            steps=row["steps"],
+        )
+
+    def write_report(self, spec: ExportSpec, fresh: bool, collection: str = "", database: str = "") -> None:
+        """Publish the report of the run so far; that of an earlier step of the same run is replaced."""
+        if spec.report is not None:
+            body = self.report(spec, collection, database).to_json() + "\n"
+            write_small_file(self.spark, spec.report, body, spec.overwrite or not fresh, spec.create_dirs)
+
+
+def export_page(
+    df: DataFrame, spec: ExportSpec, page_size: int | None = None, collection: str = "", database: str = ""
+) -> Progress:
     """Export the next page and return the progress after it.
 
     ``page_size`` is the wanted size of one call; a page goes on to the last document of its last key, so
     documents with equal keys stay together and none is stepped over.  The spec's ``limit`` bounds the
     export over all calls exactly.  Without a page size the call exports everything that is left.
-    Documents without a key are in the first page.
+    Documents without a key are in the first page.  With ``count`` each call counts what the query matches, up to
+    the limit; ``report`` describes all calls so far.
     """
     spec.validate()
-    refuse_unused(spec)
     if spec.state_dir is None:
         raise ValueError("a resumable export needs a state folder")
     holder = key_holder(df, spec)
     ledger = Ledger(df.sparkSession, spec.state_dir, spec.output, "page-")
+    if spec.report is not None and ledger.ops.qualified(spec.report) == ledger.ops.qualified(spec.output):
+        raise ValueError("the report would replace the output; give it a path of its own")
+    if spec.report is not None and ledger.generation == 0:
+        prepare(FileOps(df.sparkSession, spec.report), spec.report, spec.overwrite, spec.create_dirs)
     before = ledger.open(spec)
     remaining = None if spec.limit is None else max(0, spec.limit - before.documents)
     found = where(df, spec.query, spec.doc)
     rest = found if before.last_id is None else after(found, before.last_id, 1, spec.key, holder)
     if remaining == 0 or (before.last_id is not None and rest.isEmpty()):
+        ledger.write_report(spec, False, collection, database)
         return before
     key = get_path(rest, spec.key, holder)
     whole = None
@@ -281,7 +373,9 @@ def export_page(df: DataFrame, spec: ExportSpec, page_size: int | None = None) -
         page = sort_docs(rest.where(wanted | key.isNull() if before.last_id is None else wanted), {spec.key: 1}, holder)
     else:
         page = keyset_page(found, before.last_id, 1, remaining, 0, spec.key, holder)
-    record = ledger.write_step(before.step, page, spec)
+    expected = count_docs(df, spec.query, None, spec.limit, spec.doc).first()["n"] if spec.count else None
+    record = ledger.write_step(before.step, page, spec, expected)
+    ledger.write_report(spec, before.mode != "append", collection, database)
     last_id = cursor_value(record["last_id"])
     return Progress(
         before.mode,

@@ -13,9 +13,11 @@ from decimal import Decimal
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
+from docquarry.functions.variants import canonical_json
+from docquarry.sinks.extended import text_document, text_payload
 
 # Element type bytes of the binary format.
 DOUBLE, STRING, DOCUMENT, ARRAY, BINARY = b"\x01", b"\x02", b"\x03", b"\x04", b"\x05"
@@ -25,6 +27,9 @@ DECIMAL128, MAX_KEY, MIN_KEY = b"\x13", b"\x7f", b"\xff"
 # Exponent bias and digits of a 128-bit decimal.
 DECIMAL_BIAS, DECIMAL_DIGITS = 6176, 34
 
+#: Reserved names under which the canonical text of schemaless values travels to the encoder: of one value,
+#: and of a whole document.
+EXTENDED, DOCUMENT_TEXT = "$extended", "$document"
 _BYTES = pa.large_binary()
 #: Input bytes encoded at a time, so that the joined result stays small.
 _SLICE_BYTES = 32 << 20
@@ -191,6 +196,8 @@ def _elements(names: pa.Array, array: pa.Array) -> pa.Array:
     n = len(array)
     if pa.types.is_null(array.type):
         return _join(_constant(NULL, n), names)
+    if pa.types.is_struct(array.type) and array.type.num_fields and array.type.field(0).name == EXTENDED:
+        return _extended_elements(names, array)
     code, payload = _payload(array)
     encoded = _join(_constant(code, n), names, payload)
     if array.null_count == 0:
@@ -198,8 +205,18 @@ def _elements(names: pa.Array, array: pa.Array) -> pa.Array:
     return pc.if_else(array.is_valid(), encoded, _join(_constant(NULL, n), names))
 
 
+def _extended_elements(names: pa.Array, array: pa.StructArray) -> pa.Array:
+    """Elements of schemaless values; each has a type of its own."""
+    texts = pc.if_else(array.is_valid(), array.field(0), pa.scalar(None, array.type.field(0).type))
+    values = [text_payload(text) for text in texts.to_pylist()]
+    codes = pa.array([bytes([code]) for code, _ in values], _BYTES)
+    return _join(codes, names, pa.array([payload for _, payload in values], _BYTES))
+
+
 def encode_batch(batch: pa.RecordBatch) -> pa.Array:
     """One encoded document for each row of the batch."""
+    if batch.schema.names == [DOCUMENT_TEXT]:
+        return pa.array([text_document(text) for text in batch.column(0).to_pylist()], _BYTES)
     return _wrap_document(_struct_body(batch.to_struct_array()))
 
 
@@ -214,6 +231,20 @@ def _encode_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([encoded], names=["bson"])
 
 
+def _texted(value: Column, dtype: T.DataType) -> Column:
+    """The value with every VARIANT in it as canonical text."""
+    if isinstance(dtype, T.VariantType):
+        return F.when(value.isNotNull(), F.struct(canonical_json(value).alias(EXTENDED)))
+    if not _holds_variant(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: _texted(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(value, lambda _, x: _texted(x, dtype.valueType))
+    fields = [_texted(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
 def _holds_variant(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.VariantType):
         return True
@@ -224,16 +255,24 @@ def _holds_variant(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StructType) and any(_holds_variant(f.dataType) for f in dtype.fields)
 
 
-def encode_bson(df: DataFrame) -> DataFrame:
-    """Encode each row as one binary document, column ``bson``.
+def documents(df: DataFrame, doc: str) -> DataFrame:
+    """The documents in column ``doc`` in the form the encoder takes: typed columns, or canonical text of a VARIANT."""
+    if isinstance(df.schema[doc].dataType, T.VariantType):
+        return df.select(canonical_json(dt.column(doc)).alias(DOCUMENT_TEXT))
+    return df.select(F.col(f"`{doc}`.*"))
+
+
+def encode_bson(df: DataFrame, doc: str | None = None) -> DataFrame:
+    """Encode each row, or the document in its column ``doc``, as one binary document, column ``bson``.
 
-    Types come from the schema, so VARIANT columns (which do not keep int32 and int64 apart) are
-    refused; give them a schema first.
+    Types come from the schema.  A VARIANT value brings its own: whole numbers that fit 32 bits are int32, larger ones
+    int64, all other numbers doubles, and fields come in the order in which a VARIANT keeps them, by name.
+    Missing fields of a VARIANT are left out; a NULL of a typed column is a null.  A whole document that is no
+    object fails the query.
     """
-    untyped = [f.name for f in df.schema.fields if _holds_variant(f.dataType)]
-    if untyped:
-        raise ValueError(f"binary documents need typed columns; {', '.join(untyped)} is VARIANT")
-    return df.mapInArrow(_encode_partition, "bson binary")
+    rows = df if doc is None else documents(df, doc)
+    plain = rows.select(*[_texted(dt.column(f.name), f.dataType).alias(f.name) for f in rows.schema.fields])
+    return plain.mapInArrow(_encode_partition, "bson binary")
 
 
 def bson_text(df: DataFrame) -> DataFrame:

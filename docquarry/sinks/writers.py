@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docquarry.functions.jsonmodes import document_json
 from docquarry.operators.flatten import flatten
 from docquarry.operators.manifest import Manifest
-from docquarry.sinks.bson import bson_text
+from docquarry.sinks.bson import bson_text, documents
 from docquarry.sinks.publish import FileOps
 
 FORMATS = ("jsonl", "json", "csv", "parquet", "bson")
@@ -109,7 +109,7 @@ def encode(
             raise ValueError("a schema manifest is required for CSV and Parquet exports")
         return flatten(df, manifest, "empty" if format == "csv" else "null", doc)
     if format == "bson":
-        return df if doc is None else df.select(F.col(f"`{doc}`.*"))
+        return df if doc is None else documents(df, doc)
     raise ValueError(f"unknown format {format!r}; use one of {', '.join(FORMATS)}")
 
 

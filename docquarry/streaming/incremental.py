@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from docquarry.operators.filters import where
 from docquarry.operators.paging import sort_docs
 from docquarry.operators.paths import variant_path
-from docquarry.plans.resumable import Ledger, Progress, key_holder, refuse_unused
+from docquarry.plans.report import ExportReport
+from docquarry.plans.resumable import Ledger, Progress, key_holder
 from docquarry.plans.spec import ExportSpec
 from docquarry.sources.scan import as_documents
 
@@ -39,7 +40,6 @@ class IncrementalExport:
 
     def __post_init__(self):
         self.spec.validate()
-        refuse_unused(self.spec)
         if self.spec.state_dir is None:
             raise ValueError("an incremental export needs a state folder")
         if self.source_format == "jsonl" and self.spec.doc is None:
@@ -76,7 +76,11 @@ class IncrementalExport:
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             ordered = sort_docs(batch, {self.spec.key: 1}, key_holder(batch, self.spec))
-            ledger.write_step(batch_id, ordered, self.spec)
+            expected = None
+            if self.spec.count:
+                earlier = ledger.steps().where(F.col("number") < batch_id).agg(F.sum("documents").alias("n")).first()["n"]
+                expected = (earlier or 0) + batch.count()
+            ledger.write_step(batch_id, ordered, self.spec, expected)
 
         query = (
             self.documents()
@@ -87,8 +91,13 @@ class IncrementalExport:
         )
         query.awaitTermination()
         done = ledger.decide(self.spec)
+        ledger.write_report(self.spec, mode != "append")
         return Progress(mode, done.step, done.documents, done.bytes, done.last_id)
 
+    def report(self, collection: str = "", database: str = "") -> ExportReport:
+        """What all runs so far have exported."""
+        return self.ledger.report(self.spec, collection, database)
+
     def progress(self) -> DataFrame:
         """One row for each finished batch with the running totals.
 

@@ -21,8 +21,8 @@ M = Manifest.of(["id"])
         ({"consistency": "x"}, "consistency"),
         ({"format": "csv"}, "manifest is required"),
         ({"format": "parquet"}, "manifest is required"),
-        ({"format": "csv", "manifest": M, "fields": "id"}, "do not combine"),
-        ({"fields": " , "}, "at least one"),
+        ({"format": "csv", "manifest": M, "fields": "id"}, "manifest alone"),
+        ({"fields": " , "}, "names nothing"),
         ({"limit": 0}, "limit"),
         ({"limit": 2**63}, "limit"),
         ({"skip": -1}, "skip"),
@@ -85,7 +85,7 @@ def test_missing_folder_needs_create_dirs(spark, out):
 
 def test_report_must_not_be_the_output(spark, out):
     spec = ExportSpec(output=out("d"), format="jsonl", report=out("missing/../d"))
-    with pytest.raises(ValueError, match="different from the output"):
+    with pytest.raises(ValueError, match="path of its own"):
         run_export(spark.range(1), spec)
 
 

@@ -6,11 +6,12 @@ from decimal import Decimal
 from glob import glob
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from docquarry.operators import Manifest
 from docquarry.plans import ExportSpec, export_page
 from docquarry.plans import resumable
+from docquarry.plans.report import COUNT_DIFFERS
 from docquarry.plans.resumable import cursor_json, cursor_value
 from docquarry.streaming import IncrementalExport
 
@@ -79,10 +80,47 @@ def test_another_shape_is_refused(spark, out):
         export_page(df, spec_of(out, fields="id"), 2)
 
 
-@pytest.mark.parametrize("option", [{"count": True}, {"report": "r.json"}])
-def test_options_of_a_single_run_are_refused(spark, out, option):
-    with pytest.raises(ValueError, match="several steps"):
-        export_page(spark.range(3), spec_of(out, **option))
+def test_report_and_count_of_a_run_in_steps(spark, out):
+    df = spark.range(0, 50, 1, 3)
+    spec = spec_of(out, count=True, report=out("reports/run.json"), query={"id": {"$gte": 5}}, limit=40)
+    seen = []
+    for _ in range(3):
+        progress = export_page(df, spec, 15, "numbers", "db")
+        seen.append(json.loads(open(spec.report).read()))
+    assert [r["documents_exported"] for r in seen] == [15, 30, 40] and [r["steps"] for r in seen] == [1, 2, 3]
+    assert all(r["documents_expected"] == 40 for r in seen) and seen[-1]["last_id"] == '{"$numberLong": "44"}'
+    assert (seen[-1]["bytes_written"], seen[-1]["database"]) == (progress.bytes, "db")
+    assert COUNT_DIFFERS in seen[0]["warnings"] and COUNT_DIFFERS not in seen[-1]["warnings"]
+    assert len({r["output_sha256"] for r in seen}) == 3
+    export_page(df, spec, 15, "numbers", "db")  # nothing is left; the report is the same run's
+    assert json.loads(open(spec.report).read())["output_sha256"] == seen[-1]["output_sha256"]
+    with pytest.raises(ValueError, match="path of its own"):
+        export_page(df, spec_of(out, report=out("data") + "/../data"), 15)
+
+
+def test_a_report_of_something_else_is_not_replaced(spark, out):
+    (path := out("run.json")) and open(path, "w").write("mine")
+    with pytest.raises(FileExistsError):
+        export_page(spark.range(5), spec_of(out, report=path))
+
+
+def test_overwrite_starts_a_recorded_export_anew(spark, out):
+    export_page(spark.range(5), spec_of(out), 2)
+    changed = spec_of(out, query={"id": {"$gte": 3}}, overwrite=True)
+    assert export_page(spark.range(5), changed).mode == "recreate"
+    assert ids(spark, changed) == [3, 4]
+
+
+@pytest.mark.parametrize("few", [2, 2_000])
+def test_cut_key_with_a_hot_key(spark, monkeypatch, few):
+    monkeypatch.setattr(resumable, "CUT_KEYS", few)
+    keys = sorted([7] * 3000 + list(range(0, 3000, 3)) + [None] * 5, key=lambda k: (k is None, k))
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
+    whole = [k for k in keys if k is not None]
+    for size in (1, 2, 3, 4, 1000, 3002, 3003, 3004, 3500, 4000):
+        cut = resumable.key_cut(df, size, F.col("k"), T.LongType())
+        assert cut == (whole[size - 1], sum(k <= whole[size - 1] for k in whole)), size
+    assert resumable.key_cut(df, 4001, F.col("k"), T.LongType()) is None
 
 
 def test_limit_counts_over_all_calls(spark, out):

@@ -123,9 +123,49 @@ def test_bson_files_are_plain_concatenations(spark, out):
     assert sorted((d["_id"], d["s"], d["a"]) for d in found) == [(i, s, a) for i, s, a in rows]
 
 
-def test_bson_refuses_what_it_cannot_hold(spark, variant):
-    with pytest.raises(ValueError, match="VARIANT"):
-        encode_bson(variant("{}"))
+def test_bson_of_schemaless_documents(variant):
+    deep = '{"n":' * 120 + "[1]" + "}" * 120
+    texts = ['{"i":5,"l":5000000000,"d":2.50,"one":1.0,"s":"é\\n","t":true,"n":null,"a":[1,"x",[{}]],"o":{"b":{}}}', "{}", deep]
+    raw = [bytes(r.bson) for r in encode_bson(variant(*texts), "doc").collect()]
+    first, second, third = (document_at(r, 0)[0] for r in raw)
+    assert first == {
+        "a": [("int32", 1), "x", [{}]], "d": 2.5, "i": ("int32", 5), "l": 5_000_000_000, "n": None, "o": {"b": {}}, "one": 1.0,
+        "s": "é\n", "t": True,
+    }
+    assert second == {}
+    for _ in range(120):
+        third = third["n"]
+    assert third == [("int32", 1)]
+    for odd in ("[1]", "5", "null"):
+        with pytest.raises(Exception, match="is an object"):
+            encode_bson(variant(odd), "doc").collect()
+
+
+def test_bson_of_variants_among_typed_columns(spark):
+    df = spark.sql(
+        "SELECT 1L AS k, parse_json('[1,{\"x\":null}]') AS v, cast(null as variant) AS gone, "
+        "array(parse_json('\"q\"')) AS list, named_struct('in', to_variant_object(named_struct('t', "
+        "timestamp_millis(1699000000000), 'b', X'0A'))) AS s, map('m', parse_json('2.5')) AS m"
+    )
+    raw = bytes(encode_bson(df).first().bson)
+    assert document_at(raw, 0)[0] == {
+        "k": 1, "v": [("int32", 1), {"x": None}], "gone": None, "list": ["q"],
+        "s": {"in": {"b": b"\x0a", "t": ("date", 1699000000000)}}, "m": {"m": 2.5},
+    }
+
+
+def test_export_of_schemaless_documents_as_bson(spark, variant, out):
+    docs = variant('{"a":1}', '{"a":"x","b":[null]}')
+    write(encode(docs, "bson", doc="doc"), "bson", out("b"))
+    data, found = b"".join(open(p, "rb").read() for p in sorted(parts(out("b")))), []
+    while data:
+        document, end = document_at(data, 0)
+        found.append(document)
+        data = data[end:]
+    assert sorted(map(str, found)) == sorted(map(str, [{"a": ("int32", 1)}, {"a": "x", "b": [None]}]))
+
+
+def test_bson_refuses_what_it_cannot_hold(spark):
     wide = spark.createDataFrame([(Decimal("1" * 38),)], "d decimal(38,0)")
     with pytest.raises(Exception, match="34 digits"):
         encode_bson(wide).collect()
