@@ -13,12 +13,13 @@ import datetime as _dt
 import decimal
 import functools
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
-from docquarry.operators.paths import Found, exists, is_null, lookup
+from docquarry.functions.variants import bound
+from docquarry.operators.paths import Found, exists, is_null, lookup, path_tree, variant_path
 
 _LITERAL_KEYS = {
     "$oid",
@@ -231,8 +232,18 @@ def _field(found: Found, condition) -> Column:
     return functools.reduce(lambda a, b: a & b, parts)
 
 
-def condition(df: DataFrame, spec: Mapping, doc: str | None = None) -> Column | None:
-    """Boolean Column of a filter spec; None for the empty spec, which matches everything."""
+def _paths(spec: Mapping) -> list[str]:
+    """Every path a spec names."""
+    found = []
+    for key, operand in spec.items():
+        if key in ("$and", "$or") and isinstance(operand, Sequence):
+            found += [path for inner in operand if isinstance(inner, Mapping) for path in _paths(inner)]
+        elif not key.startswith("$"):
+            found.append(key)
+    return found
+
+
+def _condition(spec: Mapping, find: Callable[[str], Found]) -> Column | None:
     if not isinstance(spec, Mapping):
         raise ValueError("a filter spec must be a mapping")
     parts: list[Column] = []
@@ -240,19 +251,55 @@ def condition(df: DataFrame, spec: Mapping, doc: str | None = None) -> Column |
         if key in ("$and", "$or"):
             if not isinstance(operand, Sequence) or isinstance(operand, str) or not operand:
                 raise ValueError(f"{key} needs a non-empty list")
-            inner = [condition(df, s, doc) for s in operand]
+            inner = [_condition(s, find) for s in operand]
             inner = [F.lit(True) if c is None else c for c in inner]
             join = (lambda a, b: a & b) if key == "$and" else (lambda a, b: a | b)
             parts.append(functools.reduce(join, inner))
         elif key.startswith("$"):
             raise ValueError(f"unknown filter operator {key!r}")
         else:
-            parts.append(_field(lookup(df, key, doc), operand))
+            parts.append(_field(find(key), operand))
     return functools.reduce(lambda a, b: a & b, parts) if parts else None
 
 
+def condition(df: DataFrame, spec: Mapping, doc: str | None = None) -> Column | None:
+    """Boolean Column of a filter spec; None for the empty spec, which matches everything."""
+    return _condition(spec, lambda path: lookup(df, path, doc))
+
+
+def _opened_type(tree: dict) -> str | None:
+    """Type that opens the wanted names in one cast; None where Spark cannot tell or quote them all."""
+    if any("`" in n or not n for n in tree) or len({n.lower() for n in tree}) < len(tree):
+        return None
+    below = {n: _opened_type(t) if t else "variant" for n, t in tree.items()}
+    if None in below.values():
+        return None
+    return "struct<" + ", ".join(f"`{n}`: {t}" for n, t in below.items()) + ">"
+
+
+def _found_in(opened: Column, tree: dict, path: str) -> Found:
+    """A path in the cast of ``_opened_type``; below a whole value it goes on by name."""
+    parts, value = path.split("."), opened
+    while parts and tree:
+        value, tree, parts = value.getField(parts[0]), tree[parts[0]], parts[1:]
+    if parts:
+        value = F.try_variant_get(value, variant_path(parts), "variant")
+    return Found(value, T.VariantType())
+
+
 def where(df: DataFrame, spec: Mapping, doc: str | None = None) -> DataFrame:
-    """Documents that match the spec."""
+    """Documents that match the spec.
+
+    What a spec names in a VARIANT is taken out by one cast.  Catalyst copies a document's expression to each place
+    in a filter that uses it, so with a single use a document that is parsed from text is parsed once.
+    """
+    if doc is not None and isinstance(spec, Mapping) and isinstance(dt.field_type(df.schema, doc), T.VariantType):
+        paths = _paths(spec)
+        tree = path_tree(paths)
+        opened = _opened_type(tree) if paths and all("" not in p.split(".") for p in paths) else None
+        if opened is not None:
+            value = F.try_variant_get(dt.column(doc), "$", opened)
+            return df.filter(bound(value, lambda v: _condition(spec, lambda path: _found_in(v, tree, path))))
     wanted = condition(df, spec, doc)
     return df if wanted is None else df.filter(wanted)
 

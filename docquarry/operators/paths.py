@@ -6,6 +6,7 @@ missing; there are no wildcards and no array indexes.  Field names match exactly
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -21,7 +22,6 @@ class Found:
     dtype: T.DataType | None
 
 
-
 def _bracket(part: str) -> str:
     if "'" not in part:
         return f"['{part}']"
@@ -35,6 +35,21 @@ def variant_path(parts: list[str]) -> str:
     return "$" + "".join(_bracket(p) for p in parts)
 
 
+def path_tree(fields: Iterable[str]) -> dict:
+    """Nested dict of wanted names; an empty dict means "the whole value"."""
+    root: dict = {}
+    for path in fields:
+        parts, node = path.split("."), root
+        for depth, part in enumerate(parts):
+            known = part in node
+            if known and not node[part]:
+                break
+            node = node.setdefault(part, {})
+            if depth == len(parts) - 1:
+                node.clear()
+    return root
+
+
 def _missing() -> Found:
     return Found(F.lit(None).cast("string"), None)
 

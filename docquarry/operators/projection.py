@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docquarry.functions import types as dt
-from docquarry.operators.paths import variant_path
+from docquarry.operators.paths import path_tree, variant_path
 
 
 def parse_field_list(text: str) -> list[str]:
@@ -15,21 +15,6 @@ def parse_field_list(text: str) -> list[str]:
     return [name for name in (part.strip() for part in text.split(",")) if name]
 
 
-def _tree(fields: Iterable[str]) -> dict:
-    """Nested dict of wanted names; an empty dict means "the whole value"."""
-    root: dict = {}
-    for path in fields:
-        parts, node = path.split("."), root
-        for depth, part in enumerate(parts):
-            known = part in node
-            if known and not node[part]:
-                break
-            node = node.setdefault(part, {})
-            if depth == len(parts) - 1:
-                node.clear()
-    return root
-
-
 def _keep(value: Column, dtype: T.DataType, wanted: dict) -> Column | None:
     if not wanted:
         return value
@@ -103,7 +88,7 @@ def project(df: DataFrame, fields: str | Iterable[str], key: str | None = "_id",
     names = parse_field_list(fields) if isinstance(fields, str) else list(fields)
     if not names:
         raise ValueError("the field list must name at least one field")
-    wanted = _tree(names)
+    wanted = path_tree(names)
     if doc is not None:
         if key and key not in df.columns and key not in wanted:
             wanted = {key: {}, **wanted}

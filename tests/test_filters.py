@@ -122,3 +122,23 @@ def test_filters_reach_the_scan(spark, sf_dir, plan_of):
     pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
     for part in ("In(o_orderstatus", "GreaterThanOrEqual(o_totalprice", "StringStartsWith(o_orderpriority", "o_orderdate", "o_custkey"):
         assert part in pushed
+
+
+def test_a_filter_parses_each_document_once(spark, sf_dir, plan_of):
+    from docquarry.checks.fixtures import mixed_documents
+
+    spec = {"$or": [{"props.k": {"$gte": 50, "$lt": 90}}, {"user.type": {"$in": ["click", None]}}], "user": {"$exists": True}}
+    plan = plan_of(where(mixed_documents(spark, sf_dir), spec, "doc"))
+    assert plan.count("parseJson") == 2  # once to filter, once for the column of the result
+
+
+def test_paths_below_a_path_and_odd_names_of_a_spec(variant):
+    docs = variant('{"a":{"b":1,"B":2},"c`d":5}', '{"a":null,"c`d":5}', '{"a":7}', "[1]", "null")
+
+    def count(spec):
+        return where(docs, spec, "doc").count()
+
+    assert count({"a": {"$exists": True}, "a.b": 1}) == 1
+    assert count({"a": None}) == 3 and count({"a": {"$exists": False}}) == 2
+    assert count({"a.b": 1, "a.B": 2}) == 1 and count({"c`d": {"$gt": 4}}) == 2
+    assert count({"a.": 1}) == 0 and count({}) == 5
