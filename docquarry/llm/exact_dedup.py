@@ -1,36 +1,32 @@
 """Exact duplicates with a heavy-hitter split.
 
 Each text is lower-cased (A-Z only) and digested once; texts do not move.  A Misra-Gries summary, made
-batch by batch in every task and merged by a grouped sum, names the digests that may be frequent: all
-with more than rows / (counters + 1) occurrences are among them.  These few are counted exactly, and
+batch by batch in every task and merged by a grouped sum, names digests that may be frequent.  Its counts are
+lower bounds and only the ``counters`` largest sums go on, so a group that is frequent in no single task may be
+missed; it is settled like the rest then.  These few are counted exactly, and
 their verified winners are broadcast (at most ``counters`` rows), so frequent groups are settled without
-a shuffle.  All other digests are shuffled as usual; no such group is large.
+a shuffle.  All other digests are shuffled as usual.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docquarry.llm.rows import by_id
+from docquarry.llm.rows import BROADCAST_IDS, stored
 from docquarry.session import scratch_path
 
 COUNTERS = 1024
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    # bytes.lower() changes A-Z only, whatever the encoding.
-    for batch in batches:
-        digests = [
-            hashlib.sha256((text.as_py() or "").encode("utf-8", "surrogatepass").lower()).digest()
-            for text in batch.column(1)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["id", "digest"])
+def digest(text: str) -> Column:
+    """SHA-256 of a text after lower-casing A-Z only; NULL counts as empty."""
+    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.unhex(F.sha2(lowered.cast("binary"), 256))
 
 
 def summarise(counts: pd.Series, counters: int) -> pd.Series:
@@ -64,11 +60,8 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", counte
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    kind = docs.schema[id].dataType.simpleString()
     path = scratch_path(spark, "digests")
-    docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(
-        _digest, f"id {kind}, digest binary"
-    ).write.parquet(path)
+    docs.select(F.col(id).alias("id"), digest(text).alias("digest")).write.parquet(path)
     digests = spark.read.parquet(path)
 
     candidates = (
@@ -103,8 +96,24 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", counte
 
 
 def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without the copies that ``exact_groups`` drops; all columns stay.
+    """One row of each text, that which ``exact_groups`` keeps; all columns stay.
 
-    Only ids of dropped rows meet the documents again; a NULL id is never dropped.
+    A row is known by its id and its digest, so rows that repeat an id with other texts are judged each by its own text.
+    Of rows that repeat the kept id with the same text, or that have no id in a group without ids, one stays.
+    Only these repeated rows are shuffled; of all others only digests move.
     """
-    return by_id(docs, exact_groups(docs, id, text).where("not kept").select(id), id, "left_anti")
+    rows = exact_groups(docs, id, text).select(F.col(id).alias("__id"), F.unhex("text_sha256").alias("__digest"), "kept")
+    pairs = stored(rows.groupBy("__id", "__digest", "kept").agg(F.count(F.lit(1)).alias("n")), "exact_rows")
+    marked = docs.withColumn("__digest", digest(text))
+
+    def joined(rows: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
+        wanted = wanted.select("__id", F.col("__digest").alias("__other"))
+        if wanted.count() <= BROADCAST_IDS:
+            wanted = F.broadcast(wanted)
+        same = rows[id].eqNullSafe(wanted["__id"]) & (rows["__digest"] == wanted["__other"])
+        return rows.join(wanted, same, how)
+
+    repeated = pairs.where("kept and n > 1")
+    left = joined(marked, pairs.where("not kept or n > 1"), "left_anti")
+    once = joined(marked, repeated, "left_semi").dropDuplicates([id, "__digest"])
+    return left.unionByName(once).select(*docs.columns)
