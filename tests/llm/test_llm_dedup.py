@@ -125,7 +125,9 @@ def test_passages(spark):
 def test_passages_in_many_texts_link_all(spark, monkeypatch):
     from docquarry.llm import substring_dedup
 
-    monkeypatch.setattr(substring_dedup, "SPLIT", 16)
+    monkeypatch.setattr(substring_dedup, "FREQUENT", 3)
+    monkeypatch.setattr(substring_dedup, "RANGE_BYTES", 5000)
+    monkeypatch.setattr(substring_dedup, "PACK_WORDS", 2000)
     shared = prose(1, 12, 60, 61)[0]
     texts = [f"{t} {shared}" for t in prose(100, 21, 60, 90)] + prose(10, 22)
     found = repeated_passages(frame(spark, texts)).collect()
@@ -221,3 +223,60 @@ def test_components(spark, monkeypatch, part):
     found = {r.node: r.component for r in module.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {n: find(n) for a, b in links if a != b for n in (a, b)}
     assert module.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_exact_passages_where_all_short_seeds_are_common(spark):
+    rng = random.Random(8)
+    for vocabulary, texts in ((6, 400), (12, 200)):
+        names = [f"w{k}" for k in range(vocabulary)]
+        lines = [rng.choices(names, k=rng.randint(60, 120)) for _ in range(texts)]
+        carriers = rng.sample(range(texts), 80)
+        expected = set()
+        for a, b in zip(carriers[::2], carriers[1::2]):
+            passage = rng.choices(names, k=60)
+            for i in (a, b):
+                at = rng.randrange(len(lines[i]))
+                lines[i][at:at] = passage
+            expected.add((max(a, b), min(a, b)))
+        found = repeated_passages(frame(spark, [" ".join(w) for w in lines])).collect()
+        whole = {(r.doc_id, r.partner_id) for r in found if r.common >= 55}
+        assert expected <= whole and all(r.n_words >= 50 and r.identity >= 0.8 for r in found)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15])
+def test_passages_with_left_out_and_added_words(spark, share):
+    """At least nine in ten of the pairs whose passages still have 50 words of identity 0.8 are found."""
+    rng = random.Random(int(1000 * share))
+    around, texts, pairs = prose(160, 61, 60, 90), [], []
+    for k in range(80):
+        passage = prose(1, 5000 + k, 80, 81)[0].split()
+        other = []
+        for w in passage:
+            draw = rng.random()
+            if draw < share / 3:
+                continue
+            other.append(f"y{rng.randrange(10**9)}" if draw < 2 * share / 3 else w)
+            if draw > 1 - share / 3:
+                other.append(f"z{rng.randrange(10**9)}")
+        for j, one in enumerate((passage, other)):
+            texts.append(f"{around[2 * k + j]} {' '.join(one)} {around[(2 * k + j + 7) % 160][:200]}")
+        pairs.append((2 * k + 1, 2 * k))
+    found = {(r.doc_id, r.partner_id) for r in repeated_passages(frame(spark, texts)).collect()}
+    assert len(found & set(pairs)) >= 0.9 * len(pairs)
+
+
+def test_passages_of_rows_that_repeat_an_id(spark):
+    shared, other = prose(2, 71, 70, 71)
+    texts = [f"{prose(1, 72)[0]} {shared}", f"{other} {prose(1, 73)[0]}", f"{shared} {prose(1, 74)[0]}", f"{other} x y z", f"{other} x y z", shared]
+    found = repeated_passages(frame(spark, texts, [5, 5, 7, 9, 9, None])).collect()
+    assert {(r.doc_id, r.partner_id) for r in found} == {(7, 5), (9, 5)}
+    same = repeated_passages(frame(spark, [f"{shared} a b", f"c d {shared}"], [4, 4])).collect()
+    assert [(r.doc_id, r.partner_id) for r in same] == [(4, 4)]
+
+
+def test_exact_copies_are_dropped_by_row(spark):
+    rows = [(5, "a"), (9, "A"), (5, "b"), (7, "c"), (7, "C"), (None, "d"), (None, "D"), (None, "e"), (3, "e"), (6, None), (2, "")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = [(r.doc_id, (r.text or "").lower()) for r in drop_exact_duplicates(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(9, "a"), (5, "b"), (7, "c"), (None, "d"), (3, "e"), (6, "")], key=str)
+    assert drop_exact_duplicates(docs).columns == docs.columns
