@@ -10,23 +10,28 @@ a shuffle.  All other digests are shuffled as usual.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from docquarry.llm.rows import BROADCAST_IDS, stored
+from docquarry.llm.rows import by_id, stored
 from docquarry.session import scratch_path
 
 COUNTERS = 1024
 
 
-def digest(text: str) -> Column:
-    """SHA-256 of a text after lower-casing A-Z only; NULL counts as empty."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.unhex(F.sha2(lowered.cast("binary"), 256))
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # bytes.lower() changes A-Z only, whatever the encoding.
+    for batch in batches:
+        digests = [
+            hashlib.sha256((text.as_py() or "").encode("utf-8", "surrogatepass").lower()).digest()
+            for text in batch.column(1)
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["id", "digest"])
 
 
 def summarise(counts: pd.Series, counters: int) -> pd.Series:
@@ -60,8 +65,11 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", counte
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    kind = docs.schema[id].dataType.simpleString()
     path = scratch_path(spark, "digests")
-    docs.select(F.col(id).alias("id"), digest(text).alias("digest")).write.parquet(path)
+    docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(
+        _digest, f"id {kind}, digest binary"
+    ).write.parquet(path)
     digests = spark.read.parquet(path)
 
     candidates = (
@@ -98,22 +106,22 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", counte
 def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each text, that which ``exact_groups`` keeps; all columns stay.
 
-    A row is known by its id and its digest, so rows that repeat an id with other texts are judged each by its own text.
-    Of rows that repeat the kept id with the same text, or that have no id in a group without ids, one stays.
-    Only these repeated rows are shuffled; of all others only digests move.
+    Where an id has one row, the row is known by it and only ids meet the documents again.  Rows that repeat an id, or
+    have none, are known by id and digest, and each is judged by its own text; of those that repeat the kept id with
+    the same text, or that have no id in a group without ids, one stays.
     """
-    rows = exact_groups(docs, id, text).select(F.col(id).alias("__id"), F.unhex("text_sha256").alias("__digest"), "kept")
-    pairs = stored(rows.groupBy("__id", "__digest", "kept").agg(F.count(F.lit(1)).alias("n")), "exact_rows")
-    marked = docs.withColumn("__digest", digest(text))
-
-    def joined(rows: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-        wanted = wanted.select("__id", F.col("__digest").alias("__other"))
-        if wanted.count() <= BROADCAST_IDS:
-            wanted = F.broadcast(wanted)
-        same = rows[id].eqNullSafe(wanted["__id"]) & (rows["__digest"] == wanted["__other"])
-        return rows.join(wanted, same, how)
-
-    repeated = pairs.where("kept and n > 1")
-    left = joined(marked, pairs.where("not kept or n > 1"), "left_anti")
-    once = joined(marked, repeated, "left_semi").dropDuplicates([id, "__digest"])
-    return left.unionByName(once).select(*docs.columns)
+    rows = exact_groups(docs, id, text).select(F.col(id).alias("id"), F.unhex("text_sha256").alias("digest"), "kept")
+    pairs = stored(rows.groupBy("id", "digest", "kept").agg(F.count(F.lit(1)).alias("n")), "exact_rows")
+    several = stored(pairs.groupBy("id").agg(F.sum("n").alias("n")).where("n > 1 or id is null").select("id"), "several")
+    losers = pairs.where("not kept").join(several, "id", "left_anti").select(F.col("id").alias(id))
+    if several.isEmpty():
+        return by_id(docs, losers, id, "left_anti")
+    many = several.select(F.col("id").alias(id))
+    known = by_id(by_id(docs.where(F.col(id).isNotNull()), many, id, "left_anti"), losers, id, "left_anti")
+    odd = by_id(docs, many, id, "left_semi").unionByName(docs.where(F.col(id).isNull()))
+    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    odd = odd.withColumn("__digest", F.unhex(F.sha2(lowered.cast("binary"), 256)))
+    kept = pairs.where("kept").select(F.col("id").alias("__id"), F.col("digest").alias("__other"))
+    same = odd[id].eqNullSafe(kept["__id"]) & (odd["__digest"] == kept["__other"])
+    once = odd.join(kept, same, "left_semi").dropDuplicates([id, "__digest"])
+    return known.unionByName(once.select(*docs.columns))
