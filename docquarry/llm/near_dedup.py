@@ -12,10 +12,14 @@
 4. Regions that were too crowded to compare all their classes and that hold more than one component are
    finished exactly.  Regions of up to REGION_ROWS classes are put together where they share components,
    and the full sets of each such cluster are compared between components inside a task, which emits only
-   links that join two components.  Larger regions are sorted again, below their own prefix, by the other
-   half of every tree's values, until their regions are small or of one component.
-
-The chance to miss a pair of similarity 0.8 in a region that is not crowded is (1 - 0.8^4)^20 = 0.00003.
+   links that join two components.
+5. Larger regions are searched by a prefix filter: with shingles in order of their frequency, two sets of the
+   wanted similarity share one of the rarest fifth of each.  Holders of a shingle that at most KEY_ROWS sets have
+   in that part are candidates; sets with a more frequent one there are compared inside their region, block
+   against block, with blocks bounded in rows and in shingles.  Frequencies are counted in BINS bins; any order
+   gives the same links, a good one only less work.  No region stays open.
+
+The chance to miss a pair of similarity 0.8 is that of never sharing a region: (1 - 0.8^4)^20 = 0.00003.
 """
 
 from __future__ import annotations
@@ -49,18 +53,26 @@ MIN_DEPTH = 4
 NEIGHBOURS = 6
 #: Sorted rows for each partition of a range sort, at least.
 PART_ROWS = 4000
-#: Classes whose full sets one task compares.
+#: Classes, and shingles of all their sets, that one task compares; a single larger set is not cut.
 REGION_ROWS = 2048
+UNIT_SHINGLES = 4_000_000
+#: Bins of shingle frequencies (2 MB), and holders of a shingle that are paired at most.
+BINS = 1 << 18
+KEY_ROWS = 16
 
 
 def _signature(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """Upper 16 bits of the minimum of each hash function over a set."""
+    """Minimum of each hash function over a set, as 5 bits of size and the 11 bits that follow the leading one.
+
+    The code keeps the order of the minima and is as fine for very large sets as for small ones.
+    """
     least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     short = (values >> np.uint64(32)).astype(np.uint32)
     for start in range(0, len(short), 512):
         hashed = np.multiply.outer(short[start : start + 512], factors)
         np.minimum(least, hashed.min(axis=0), out=least)
-    return (least >> np.uint32(16)).astype(">u2")
+    part, size = np.frexp(np.maximum(least, 1).astype(np.float64))
+    return ((size - 1) * 2048 + ((part - 0.5) * 4096).astype(np.int64)).astype(">u2")
 
 
 def _sketch(size: int):
@@ -85,33 +97,28 @@ def _sketch(size: int):
     return run
 
 
-def _trees(batches: Iterator[pa.RecordBatch], shift: int = 0) -> Iterator[pa.RecordBatch]:
-    """A row for each class and tree: group (the tree), its slice of the signature, id, set size.
-
-    The values of a slice are taken in a circle from number ``shift`` on.
-    """
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each class and tree: group (the tree), its slice of the signature, id, set size."""
     for batch in batches:
         n, width = batch.num_rows, DEPTH * 2
         if not n:
             continue
         cells = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(n, TREES, width)
-        cells = np.ascontiguousarray(np.roll(cells, -2 * shift, axis=2))
         rows = np.repeat(np.arange(n), TREES)
         trees = np.tile(np.arange(TREES, dtype=np.int32), n)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(trees),
                 pa.array(mix(trees.astype(np.uint64)).view(np.int64)),
                 binary_array(cells.reshape(-1), width),
                 batch.column("id").take(pa.array(rows)),
                 batch.column("n").take(pa.array(rows)),
                 batch.column("component").take(pa.array(rows)),
             ],
-            names=["tree", "group", "order", "id", "n", "component"],
+            names=["group", "order", "id", "n", "component"],
         )
 
 
-_TREE_ROWS = "tree int, group long, order binary, id long, n long, component long"
+_TREE_ROWS = "group long, order binary, id long, n long, component long"
 _FOUND = "kind int, a long, b long, region long, part int, group long, order binary, id long, n long, component long"
 
 
@@ -203,7 +210,7 @@ def forest_pairs(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     """Candidate pairs ``a, b, weight`` and the crowded regions of sorted orders."""
     spark = rows.sparkSession
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_ROWS))
-    rows = rows.drop("tree").repartitionByRange(parts, "group", "order", "id")
+    rows = rows.repartitionByRange(parts, "group", "order", "id")
     ordered = rows.sortWithinPartitions("group", "order", "id")
     path = scratch_path(spark, "forest")
     ordered.mapInArrow(_neighbours(percent), _FOUND).write.partitionBy("kind").parquet(path)
@@ -280,31 +287,18 @@ def near_groups(
 
     # Copies of a class are linked to its first id; so are rows that repeat an id.
     links = members.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
-    first = True
-    while True:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = stored(by_id(source, wanted, "id", "left_semi"), "texts")
-        best = Window.partitionBy("b").orderBy(F.desc("weight"), "a")
-        ranked = stored(pairs.withColumn("rank", F.row_number().over(best)), "ranked")
-        links = links.union(_confirmed(ranked.where("rank = 1"), texts, shingle, percent))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = stored(by_id(source, wanted, "id", "left_semi"), "texts")
+    best = Window.partitionBy("b").orderBy(F.desc("weight"), "a")
+    ranked = stored(pairs.withColumn("rank", F.row_number().over(best)), "ranked")
+    links = links.union(_confirmed(ranked.where("rank = 1"), texts, shingle, percent))
+    labels = stored(components(links), "labels")
+    rest = stored(_open(ranked.where("rank > 1"), labels), "open")
+    if not rest.isEmpty():
+        links = _stars(labels).union(_confirmed(rest, texts, shingle, percent))
         labels = stored(components(links), "labels")
-        rest = stored(_open(ranked.where("rank > 1"), labels), "open")
-        if not rest.isEmpty():
-            links = _stars(labels).union(_confirmed(rest, texts, shingle, percent))
-            labels = stored(components(links), "labels")
-        opened = stored(_open_regions(rows, crowded, labels), "open_regions")
-        if opened.isEmpty():
-            break
-        small, large = opened.where(f"size <= {REGION_ROWS}"), opened.where(f"size > {REGION_ROWS}")
-        links = _stars(labels).union(_linked(small, source, shingle, percent))
-        labels = stored(components(links), "labels")
-        rows = stored(_deeper(large, nodes, first), "deeper")
-        size, first = rows.count(), False
-        if not size:
-            break
-        links = _stars(labels)
-        pairs, crowded = forest_pairs(rows, size, percent)
-        pairs, crowded = stored(pairs, "pairs"), stored(crowded, "crowded")
+    inside = rows.mapInArrow(_regions, "id long, n long, region long").join(crowded, "region", "left_semi")
+    labels = _finished(inside, labels, source, shingle, percent)
 
     named = members.select("id", "n").distinct().join(labels, F.col("id") == F.col("node"), "left")
     named = named.select("id", F.coalesce("component", "id").alias("component_id")).distinct()
@@ -323,37 +317,103 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             group = batch.column("group").to_numpy().view(np.uint64)
             region = mix(group ^ mix(_prefix(batch.column("order")))).view(np.int64)
-            yield batch.select(["id", "n", "tree"]).append_column("region", pa.array(region))
+            yield batch.select(["id", "n"]).append_column("region", pa.array(region))
 
 
-def _resorted(all_trees: bool):
-    """Rows of open regions by every tree, or by those after the region's own; each region is a group."""
+def _several(inside: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows ``id, n, region`` of regions that hold several components, with their region's size and least component."""
+    inside = inside.join(labels, inside["id"] == labels["node"], "left").select(
+        "id", "n", "region", F.coalesce("component", "id").alias("component")
+    )
+    inside = stored(inside, "crowded_rows")
+    regions = inside.groupBy("region").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    return stored(inside.join(regions.where("low <> high").drop("high"), "region"), "open_regions")
+
+
+def _finished(inside: DataFrame, labels: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame:
+    """Labels with all links inside crowded regions."""
+    opened = _several(inside, labels)
+    if opened.isEmpty():
+        return labels
+    small = opened.where(f"size <= {REGION_ROWS}")
+    labels = stored(components(_stars(labels).union(_linked(small, source, size, percent))), "labels")
+    opened = _several(opened.where(f"size > {REGION_ROWS}").select("id", "n", "region"), labels)
+    if opened.isEmpty():
+        return labels
+    texts = stored(by_id(source, opened, "id", "left_semi"), "region_texts")
+    pairs, frequent = _rare_pairs(opened, texts, size, percent)
+    labels = stored(components(_stars(labels).union(_confirmed(pairs, texts, size, percent))), "labels")
+    opened = _several(opened.join(frequent, "id", "left_semi").select("id", "n", "region"), labels)
+    if opened.isEmpty():
+        return labels
+    units = opened.withColumnRenamed("region", "unit")
+    return stored(components(_stars(labels).union(_compared(units, texts, size, percent))), "labels")
+
+
+def _bins(size: int):
+    """How many texts of the task have a shingle in each bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in _trees(iter([batch]), MIN_DEPTH):
-                regions = np.repeat(batch.column("region").to_numpy().view(np.uint64), TREES)
-                group = mix(regions ^ rows.column("group").to_numpy().view(np.uint64)).view(np.int64)
-                rows = rows.set_column(1, "group", pa.array(group))
-                if not all_trees:
-                    later = rows.column("tree").to_numpy() > np.repeat(batch.column("tree").to_numpy(), TREES)
-                    rows = rows.filter(pa.array(later))
-                yield rows
+        total = np.zeros(BINS, np.int64)
+        for batch in slices(batches, "text"):
+            for values in shingle_sets(words(batch.column("text")), size):
+                np.add.at(total, (values % np.uint64(BINS)).astype(np.int64), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bin", "count"])
 
     return run
 
 
-def _open_regions(rows: DataFrame, crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of crowded regions that hold several components, with their region's size and least component."""
-    inside = rows.mapInArrow(_regions, "id long, n long, tree int, region long").join(crowded, "region", "left_semi")
-    inside = inside.join(labels, inside["id"] == labels["node"], "left").select(
-        "id", "n", "tree", "region", F.coalesce("component", "id").alias("component")
-    )
-    inside = stored(inside, "crowded_rows")
-    regions = inside.groupBy("region").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+def _rarest(size: int, percent: int, shared):
+    """The rarest shingles of each text: any set that is similar enough shares one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in slices(batches, "text"):
+            keys, lengths, sizes = [np.zeros(0, np.uint64)], [], []
+            for values in shingle_sets(words(batch.column("text")), size):
+                order = np.lexsort((values, counts[(values % np.uint64(BINS)).astype(np.int64)]))
+                part = len(values) - -(-percent * len(values) // 100) + 1 if len(values) else 0
+                keys.append(values[order[:part]])
+                lengths.append(part)
+                sizes.append(len(values))
+            rows = np.repeat(np.arange(batch.num_rows), lengths)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                    batch.column("id").take(pa.array(rows)),
+                    batch.column("component").take(pa.array(rows)),
+                    pa.array(np.array(sizes, np.int64)[rows]),
+                ],
+                names=["key", "id", "component", "n"],
+            )
+
+    return run
+
+
+def _rare_pairs(opened: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of components' texts that share a rare shingle, and the ids of texts that share a frequent one."""
+    counted = texts.mapInArrow(_bins(size), "bin long, count long").groupBy("bin").agg(F.sum("count").alias("count"))
+    counts = np.zeros(BINS, np.int64)
+    for row in counted.toLocalIterator():  # at most BINS rows
+        counts[row["bin"]] = row["count"]
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+    labelled = texts.join(opened.select("id", "component").distinct(), "id")
+    keyed = labelled.mapInArrow(_rarest(size, percent, shared), "key long, id long, component long, n long")
+    keyed = stored(keyed, "rarest")
+    keys = keyed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    return inside.join(regions.where("low <> high").drop("high"), "region")
+    keys = stored(keys.where("low <> high").select("key", "holders"), "shared_keys")
+    rare = stored(keyed.join(keys.where(f"holders <= {KEY_ROWS}"), "key", "left_semi"), "rare")
+    a, b = (rare.select("key", *(F.col(c).alias(f"{c}_{end}") for c in ("id", "component", "n"))) for end in "ab")
+    pairs = a.join(b, "key").where("id_a < id_b and component_a <> component_b")
+    pairs = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    pairs = stored(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "rare_pairs")
+    frequent = keyed.join(keys.where(f"holders > {KEY_ROWS}"), "key", "left_semi").select("id").distinct()
+    return pairs, stored(frequent, "frequent")
 
 
 def _link(size: int, percent: int):
@@ -361,6 +421,8 @@ def _link(size: int, percent: int):
 
     def run(cluster: pa.Table) -> pa.Table:
         ids, comps = cluster["id"].to_numpy(), cluster["component"].to_numpy()
+        if (comps == comps[0]).all():
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         sets = list(shingle_sets(words(cluster["text"].combine_chunks()), size))
         counts = np.array([len(s) for s in sets])
         values, place = np.unique(np.concatenate(sets), return_inverse=True)
@@ -388,22 +450,35 @@ def _link(size: int, percent: int):
 
 
 def _linked(small: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links inside small open regions; a text is read once for each cluster of regions."""
+    """Links inside small open regions; a text is read once for each cluster of regions that fits a task."""
     touching = stored(components(small.select(F.col("component").alias("a"), F.col("low").alias("b"))), "clusters")
     member = small.join(touching, small["component"] == touching["node"], "left").select(
-        "id", small["component"], "region", F.coalesce(touching["component"], small["component"]).alias("cluster")
+        "id", "n", small["component"], "region", F.coalesce(touching["component"], small["component"]).alias("cluster")
     )
     member = stored(member, "cluster_rows")
-    sizes = member.groupBy("cluster").agg(F.count_distinct("id").alias("size"))
-    unit = F.when(F.col("size") <= REGION_ROWS, F.xxhash64("cluster")).otherwise(F.col("region"))
-    units = member.join(sizes, "cluster").select(unit.alias("unit"), "id", "component").distinct()
-    texts = by_id(source, member, "id", "left_semi")
-    return units.join(texts, "id").groupBy("unit").applyInArrow(_link(size, percent), "a long, b long")
-
-
-def _deeper(large: DataFrame, nodes: DataFrame, first: bool) -> DataFrame:
-    """Rows of large regions, to be sorted again."""
-    return large.join(nodes.select("id", "n", "signature"), ["id", "n"]).mapInArrow(_resorted(first), _TREE_ROWS)
+    sizes = member.select("cluster", "id", "n").distinct().groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")
+    )
+    fits = (F.col("size") <= REGION_ROWS) & (F.col("shingles") <= UNIT_SHINGLES)
+    unit = F.when(fits, F.xxhash64("cluster")).otherwise(F.col("region"))
+    units = member.join(sizes, "cluster").select(unit.alias("unit"), "id", "n", "component")
+    return _compared(units, by_id(source, member, "id", "left_semi"), size, percent)
+
+
+def _compared(units: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between the components of each unit; what is too much for a task is cut into blocks, and each two meet."""
+    units = units.select("unit", "id", "n", "component").distinct()
+    sizes = units.groupBy("unit").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    whole = (F.col("size") <= REGION_ROWS) & (F.col("shingles") <= UNIT_SHINGLES)
+    need = F.greatest(F.lit(2), F.ceil(F.col("size") * 2 / REGION_ROWS), F.ceil(F.col("shingles") * 2 / UNIT_SHINGLES))
+    sizes = sizes.select("unit", F.when(whole, 1).otherwise(need).alias("blocks"))
+    dealt = units.join(sizes, "unit").withColumn("slot", F.pmod(F.xxhash64("id", "unit"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.where("blocks = 1 or other <> slot").select(
+        "unit", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"), "id", "component"
+    )
+    dealt = dealt.distinct()
+    return dealt.join(texts, "id").groupBy("unit", "low", "high").applyInArrow(_link(size, percent), "a long, b long")
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

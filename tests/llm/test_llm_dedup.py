@@ -78,18 +78,55 @@ def test_near_groups(spark, size):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
-def test_near_crowded_region_is_sorted_again(spark, monkeypatch):
+@pytest.mark.parametrize("limits", [
+    {"REGION_ROWS": 10}, {"REGION_ROWS": 10, "UNIT_SHINGLES": 600, "KEY_ROWS": 3, "BINS": 8},
+])
+def test_near_crowded_regions_are_finished(spark, monkeypatch, limits):
     from docquarry.llm import near_dedup
 
-    monkeypatch.setattr(near_dedup, "REGION_ROWS", 10)
+    for name, value in limits.items():
+        monkeypatch.setattr(near_dedup, name, value)
     rng = random.Random(3)
     hub = prose(1, 4, 200, 201)[0]
     other = edited(hub, rng, 0.12)
     texts = [edited(hub, rng, 0.02) for _ in range(40)] + [edited(other, rng, 0.02) for _ in range(40)]
+    # Copies of one template, most of them just not similar enough, with a few links among them.
+    texts += [edited(hub, rng, rng.choice([0.04, 0.06, 0.1])) for _ in range(60)]
     expected = components({i: shingle_set(t, 5) for i, t in enumerate(texts)}, 80)
+    assert len(set(expected.values())) > 5
     assert {r.doc_id: r.component_id for r in near_groups(frame(spark, texts)).collect()} == expected
 
 
+def test_near_template_without_neighbours(spark, monkeypatch):
+    """Links are found by the exact search alone, where no sorted order gives a pair."""
+    from docquarry.llm import near_dedup
+
+    rng = random.Random(8)
+    hub = prose(1, 4, 200, 201)[0]
+    texts = [edited(hub, rng, rng.choice([0.03, 0.06])) for _ in range(60)]
+    expected = components({i: shingle_set(t, 5) for i, t in enumerate(texts)}, 80)
+    rows = frame(spark, texts).selectExpr("doc_id id", "text")
+    sizes = rows.selectExpr("id", "cast(size(split(text, ' ')) as long) n", "7L region")
+    for limits in ({"REGION_ROWS": 8, "KEY_ROWS": 1000}, {"REGION_ROWS": 8, "KEY_ROWS": 0}):
+        for name, value in limits.items():
+            monkeypatch.setattr(near_dedup, name, value)
+        none = spark.createDataFrame([], "node long, component long")
+        labels = {r.node: r.component for r in near_dedup._finished(sizes, none, rows, 5, 80).collect()}
+        assert {i: labels.get(i, i) for i in expected} == expected, limits
+
+
+def test_near_signatures_of_large_sets():
+    from docquarry.llm import near_dedup
+
+    factors = (near_dedup.seeds(160, salt=1000) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    rng = np.random.default_rng(2)
+    for count in (5, 400, 200_000):
+        a, b = (rng.integers(0, 2**64, count, dtype=np.uint64) for _ in range(2))
+        left, right = near_dedup._signature(a, factors), near_dedup._signature(b, factors)
+        assert (left == right).sum() <= 2
+        assert (near_dedup._signature(np.concatenate([a, b]), factors) == np.minimum(left, right)).all()
+
+
 def test_near_null_ids_repeats_and_empty_table(spark):
     docs = frame(spark, ["a b c d e f", "a b c d e f", None, "a b c d e f"], [None, 3, 4, 3])
     got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_groups(docs).collect())
