@@ -1,6 +1,7 @@
 """PII, secrets, decontamination, quality and the n-gram model against plain versions."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -125,15 +126,67 @@ def test_secret_hex_runs_end_with_their_text(spark, texts):
 
 
 def test_secret_field_finds_what_patterns_miss(spark):
-    docs = frame(spark, secret_texts())
-    field = train_field(docs)
-    new = frame(spark, ["the of and pwd = 9f3a77b2c4d81e605a7b9c1d3e5f7a90x1 then more words follow here", prose(1, 77)[0]])
-    found = {r.doc_id: r.found for r in find_secrets(new, field).collect()}
-    assert any(s.kind in ("crf", "hex") for s in found[0]) and not found[1]
+    rng = random.Random(19)
+    field = train_field(frame(spark, secret_texts() + prose(300, 61)))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    secrets = ["pwd = 9g3z77q2c4Kd81e6R05a7vb9", "client_key: 'Zx81-QpLw72-mNbV93-tYuR'", "db_pass=hunter2hunter2XYZ99"]
+    for name in ("mail_pwd", "DB_PASS", "vault-key", "storage_auth", "hmac_key", "ClientKey", "login_passphrase", "deploy_credential"):
+        for sign in ("=", ": ", ' = "'):
+            secrets += [name + sign + "".join(rng.choices(letters, k=rng.randint(16, 40))) for _ in range(3)]
+    clean = [
+        "version: 3.11.2-rc1", "host = 192.168.20.117", "order_id=8812390045", "path: /usr/share/doc/readme.txt", "build 20240817",
+        "primary_key: customer_id", "pass: the first one", "date = 2023-11-05T10:30:00Z", "MAX_RETRY_COUNT = 12", "key: value",
+        "HttpRequestHandler", "foreign_key = order_lines", "phone +1-202-555-0143", "AB-48213", "state-of-the-art", "x = 3.14159265",
+        "id: 123e4567-e89b-12d3-a456-426614174000", "mail jane.doe42@example.org", "auth = optional", "file: report_final_v2.pdf",
+    ] * 3
+    hosts = prose(len(secrets) + len(clean), 77)
+    texts, spans = [], []
+    for host, phrase in zip(hosts, secrets + clean):
+        w = host.split()
+        at = rng.randrange(len(w))
+        texts.append(" ".join(w[:at]) + " " + phrase + " " + " ".join(w[at:]))
+        value = re.split(r" ?[=:] ?", phrase)[-1].strip("'\"")
+        spans.append((texts[-1].index(phrase) + phrase.index(value), value))
+    assert not any(secret_scan.base_spans(t) for t in texts)
+    found = {r.doc_id: r.found for r in find_secrets(frame(spark, texts), field).collect()}
+    assert all(s.kind == "crf" for f in found.values() for s in f)
+    hits = sum(any((s.start, s.end) == (spans[i][0], spans[i][0] + len(spans[i][1])) for s in found[i]) for i in range(len(secrets)))
+    total = sum(map(len, found.values()))
+    missed = [secrets[i] for i in range(len(secrets)) if not found[i]]
+    wrong = [texts[i][s.start : s.end] for i in range(len(secrets), len(texts)) for s in found[i]]
+    assert hits >= 0.9 * len(secrets) and hits >= 0.9 * total, (hits, len(secrets), total, missed, wrong)
     empty = spark.createDataFrame([], SCHEMA)
     assert train_field(empty) is None and find_secrets(empty, None).count() == 0
 
 
+def test_field_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    features, tags = rng.integers(0, 9, (4, 5, 3)), rng.integers(0, 3, (4, 5)).astype(np.int8)
+    emit = np.zeros((secret_scan.BUCKETS, 3))
+    emit[:9] = rng.normal(size=(9, 3))
+    field = secret_scan.Field(emit, rng.normal(size=(3, 3)))
+
+    def mean_log_likelihood():
+        total = 0.0
+        for x, y in zip(features, tags):
+            def score(path):
+                return sum(field.emit[x[t], k].sum() for t, k in enumerate(path)) + sum(field.step[a, b] for a, b in zip(path, path[1:]))
+
+            total += score(y) - np.log(sum(np.exp(score(p)) for p in itertools.product(range(3), repeat=5)))
+        return total / len(features)
+
+    slope, turn = secret_scan._slopes(field, features, tags)
+    for weights, gradient, cells in ((field.emit, slope, [(0, 0), (4, 1), (8, 2)]), (field.step, turn, [(0, 1), (1, 2), (2, 2)])):
+        for cell in cells:
+            kept = weights[cell]
+            weights[cell] = kept + 1e-5
+            up = mean_log_likelihood()
+            weights[cell] = kept - 1e-5
+            down = mean_log_likelihood()
+            weights[cell] = kept
+            assert gradient[cell] + secret_scan.DECAY * kept == pytest.approx((up - down) / 2e-5, abs=1e-5)
+
+
 def test_viterbi_is_best_path():
     rng = np.random.default_rng(0)
     field = secret_scan.Field(np.zeros((4, 3), np.float32), rng.normal(size=(3, 3)).astype(np.float32))
