@@ -45,7 +45,7 @@ BUCKETS = 1 << 16
 OUT, BEGIN, INSIDE = 0, 1, 2
 TRAIN_TEXTS = 3000
 WINDOW = 8
-ROUNDS = 8
+ROUNDS = 4
 CHUNK = 1024
 RATE, DECAY = 0.3, 1e-5
 PLANTED = 6
