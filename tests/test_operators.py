@@ -304,3 +304,15 @@ def test_missing_fields(variant):
     docs = variant('{"a":1,"address":{"city":"x"}}')
     rows = missing_fields(docs, ["zip", "a", "address", "address.city"], "doc").collect()
     assert [tuple(r) for r in rows] == [(0, "zip"), (2, "address")]
+
+
+def test_cells_of_a_manifest_follow_the_documents(spark):
+    """One row of values for each document, also with names that no path expression can quote."""
+    texts = ["""{"a'\\"b":1,"s":{"t":[2,null],"u.v":3},"z":null}""", "[1]", "{}", None, """{"s":{"t":"x"}}"""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "_id long, text string").select("_id", F.parse_json("text").alias("doc"))
+    paths = ["no", "z", "s.t", "s.u.v", "a'\"b", "s", "s.t"]
+    manifest = spark.createDataFrame([(10 * i, p) for i, p in enumerate(paths)], "position long, path string")
+    got = {r._id: r.cells for r in flatten_cells(docs, manifest, "doc").collect()}
+    empty = [None] * 7
+    first = [None, None, "[2,]", None, "1", '{"t":[2,null],"u.v":3}', "[2,]"]
+    assert got == {0: first, 1: empty, 2: empty, 3: empty, 4: [None, None, "x", None, None, '{"t":"x"}', "x"]}
