@@ -8,10 +8,13 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import pyarrow as pa
 
 OBJECT, ARRAY = "OBJECT", "ARRAY"
+#: Rows of paths that are held at a time.
+ROWS = 10_000
 _TOKEN = re.compile(r"`((?:[^`]|``)*)`|([A-Za-z0-9_]+(?:\([0-9, ]+\))?)|([<>:,])")
 
 
@@ -20,10 +23,10 @@ def nodes(schema: str) -> Iterator[tuple[tuple[str, ...], str]]:
 
     Arrays are one value; nothing inside them is listed.
     """
-    tokens = [m.groups() for m in _TOKEN.finditer(schema)] + [(None, None, None)]
+    tokens = chain((m.groups() for m in _TOKEN.finditer(schema)), [(None, None, None)])
     names: list[str] = []
     skipped = 0
-    for (quoted, word, mark), following in zip(tokens, tokens[1:]):
+    for (quoted, word, mark), following in pairwise(tokens):
         if mark is None and skipped:
             skipped += following[2] == "<"
         elif mark is None and following[2] == ":":
@@ -42,13 +45,24 @@ def nodes(schema: str) -> Iterator[tuple[tuple[str, ...], str]]:
 
 
 def path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(names as JSON, dotted path, kind, documents)`` for batches of ``(schema, documents)``."""
+    """``(names as JSON, dotted path, kind, documents)`` for batches of ``(schema, documents)``.
+
+    The rows leave in batches of about ROWS, however many paths the schemas of one incoming batch have.
+    """
+    types = (pa.string(), pa.string(), pa.string(), pa.int64())
+
+    def told(rows: list[tuple[str, str, str, int]]) -> pa.RecordBatch:
+        arrays = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
+        return pa.RecordBatch.from_arrays(arrays, names=["names", "path", "kind", "documents"])
+
+    rows = []
     for batch in batches:
-        rows = []
-        for schema, documents in zip(*(c.to_pylist() for c in batch.columns)):
-            found = nodes(schema) if schema is not None else ()
-            rows += [(json.dumps(names), ".".join(names), kind, documents) for names, kind in found]
-        columns = zip(*rows) if rows else [[]] * 4
-        types = (pa.string(), pa.string(), pa.string(), pa.int64())
-        arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["names", "path", "kind", "documents"])
+        for schema, documents in zip(*batch.columns):
+            schema, documents = schema.as_py(), documents.as_py()
+            for names, kind in nodes(schema) if schema is not None else ():
+                rows.append((json.dumps(names), ".".join(names), kind, documents))
+                if len(rows) >= ROWS:
+                    yield told(rows)
+                    rows = []
+    if rows:
+        yield told(rows)

@@ -316,3 +316,15 @@ def test_cells_of_a_manifest_follow_the_documents(spark):
     empty = [None] * 7
     first = [None, None, "[2,]", None, "1", '{"t":[2,null],"u.v":3}', "[2,]"]
     assert got == {0: first, 1: empty, 2: empty, 3: empty, 4: [None, None, "x", None, None, '{"t":"x"}', "x"]}
+
+
+def test_paths_of_wide_schemas_leave_in_bounded_batches():
+    import pyarrow as pa
+
+    from docquarry.functions.shapes import ROWS, path_rows
+
+    schema = f"OBJECT<{', '.join(f'p{i}: BIGINT' for i in range(999))}>"
+    batch = pa.RecordBatch.from_pydict({"schema": [schema] * 45 + [None], "documents": list(range(45)) + [9]})
+    found = list(path_rows(iter([batch])))
+    assert max(b.num_rows for b in found) <= ROWS and sum(b.num_rows for b in found) == 45_000
+    assert sum(sum(b.column("documents").to_pylist()) for b in found) == 1000 * sum(range(45))
