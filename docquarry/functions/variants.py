@@ -2,7 +2,7 @@
 
 A value is laid out as a flat array of tokens: text that is finished, and containers that are still closed.
 Each round opens every closed container one level, and a row goes through as many rounds as its own nesting asks
-for.  So the expression has one copy of each rule, however deep a document is, and nothing is cut or refused.
+for; when text is written, what is finished at either end leaves the tokens.  So the expression has one copy of each rule, however deep a document is, and nothing is cut or refused.
 """
 
 from __future__ import annotations
@@ -75,52 +75,68 @@ def opened(value: Column, start: Column, open_up: Callable[[Column], Column]) ->
     return bound(first, rest)
 
 
-def _token(mark: Column, item: Column | None = None, shut: Column | None = None) -> Column:
+def _token(mark: Column, item: Column | None = None) -> Column:
     item = F.lit(None).cast("variant") if item is None else item
-    shut = F.lit(None).cast("string") if shut is None else shut
-    return F.struct(mark.alias("mark"), item.alias("item"), shut.alias("shut"))
+    return F.struct(mark.alias("mark"), item.alias("item"))
 
 
-def _shut(kind: Column, objects: bool) -> Column:
-    """Closing bracket of a value that is opened; NULL for a leaf."""
-    found = F.when(kind.startswith("ARRAY"), "]")
-    return found.when(kind.startswith("OBJECT"), "}") if objects else found
+def _settled(state: Column, tokens: Column) -> Column:
+    """The state after a round: what is finished before the first closed value and after the last one joins the text."""
+    joined = lambda part: F.array_join(F.transform(part, lambda t: t["mark"]), "")
 
+    def split(tokens: Column, ends: Column) -> Column:
+        first, last = ends["first"], ends["last"]
+        return F.struct(
+            F.concat(state["head"], joined(F.slice(tokens, F.lit(1), first))).alias("head"),
+            F.slice(tokens, first + 1, last - first + 1).alias("open"),
+            F.concat(joined(F.slice(tokens, last + 2, F.size(tokens) - 1 - last)), state["tail"]).alias("tail"),
+        )
 
-def _child_tokens(parts: Column, leaf_text, objects: bool) -> Column:
-    """One token for each child ``(label, value, kind)`` of a container."""
+    def ends(tokens: Column) -> Column:
+        closed = F.transform(tokens, lambda t, at: F.when(t["item"].isNotNull(), at))
+        first, last = F.coalesce(F.array_min(closed), F.size(tokens)), F.coalesce(F.array_max(closed), F.size(tokens) - 1)
+        return F.struct(first.alias("first"), last.alias("last"))
 
-    def token(part: Column, position: Column) -> Column:
-        value, shut = part["value"], _shut(part["kind"], objects)
-        text = F.when(shut == "]", "[").when(shut == "}", "{") if objects else F.when(shut == "]", "[")
-        text = text.otherwise(F.coalesce(leaf_text(value, part["kind"]), F.lit("")))
-        mark = F.concat(F.when(position == 0, "").otherwise(","), part["label"], text)
-        return _token(mark, F.when(shut.isNotNull(), value), shut)
+    return bound(tokens, lambda found: bound(ends(found), lambda at: split(found, at)))
 
-    return F.transform(parts, token)
 
+def _walked(value: Column, leaf_text, objects: bool) -> Column:
+    """Text of a VARIANT: brackets, commas and names as in JSON, leaves written by ``leaf_text(value, kind)``.
 
-def _part(label: Column, value: Column) -> Column:
-    return F.struct(label.alias("label"), value.alias("value"), F.schema_of_variant(value).alias("kind"))
+    Text that is finished at either end is carried as text, so a round costs what is still closed and a value is never looked
+    at with all that is below it.
+    """
 
+    def mark(before: Column, at: Column) -> Column:
+        return F.when(at == 0, before).otherwise(F.concat(F.lit(","), before))
 
-def _walked(value: Column, leaf_text, objects: bool) -> Column:
-    """Text of a VARIANT: brackets, commas and names as in JSON, leaves written by ``leaf_text(value, kind)``."""
+    def whole(token: Column, left: str, children: Column, right: str) -> Column:
+        start = F.array(_token(F.concat(token["mark"], F.lit(left))))
+        return F.concat(start, children, F.array(_token(F.lit(right))))
 
     def open_up(token: Column) -> Column:
         item = token["item"]
-        inside = F.transform(dt.as_array(item), lambda x: _part(F.lit(""), x))
+        leaf = F.coalesce(leaf_text(item, F.schema_of_variant(item)), F.lit(""))
+        finished = F.array(_token(F.concat(token["mark"], leaf)))
         if objects:
             label = lambda key: F.concat(_quoted(key, key.cast("variant")), F.lit(":"))
-            fields = F.transform(F.map_entries(dt.as_object(item)), lambda e: _part(label(e["key"]), e["value"]))
-            inside = F.when(token["shut"] == "}", fields).otherwise(inside)
-        children = _child_tokens(inside, leaf_text, objects)
-        whole = F.concat(F.array(_token(token["mark"])), children, F.array(_token(token["shut"])))
-        return F.when(item.isNull(), F.array(token)).otherwise(whole)
+            field = lambda e, at: _token(mark(label(e["key"]), at), e["value"])
+            inside = lambda fields: whole(token, "{", F.transform(F.map_entries(fields), field), "}")
+            finished = bound(dt.as_object(item), lambda fields: F.when(fields.isNull(), finished).otherwise(inside(fields)))
+        element = lambda x, at: _token(mark(F.lit(""), at), x)
+        elements = lambda found: whole(token, "[", F.transform(found, element), "]")
+        opened = bound(dt.as_array(item), lambda found: F.when(found.isNull(), finished).otherwise(elements(found)))
+        return F.when(item.isNull(), F.array(token)).otherwise(opened)
+
+    def turn(state: Column, _: Column) -> Column:
+        tokens = F.flatten(F.transform(state["open"], open_up))
+        return F.when(F.size(state["open"]) == 0, state).otherwise(_settled(state, tokens))
 
     def text(value: Column) -> Column:
-        start = _child_tokens(F.array(_part(F.lit(""), value)), leaf_text, objects)
-        return F.array_join(F.transform(opened(value, start, open_up), lambda t: t["mark"]), "")
+        start = F.struct(F.lit("").alias("head"), F.array(_token(F.lit(""), value)).alias("open"), F.lit("").alias("tail"))
+        # As many rounds as there are brackets are enough; those after the last closed value do nothing.
+        brackets = bound(F.to_json(value), lambda json: F.length(json) - F.length(F.translate(json, "[{", "")))
+        return F.aggregate(F.sequence(F.lit(1), brackets + 1), start, turn, lambda s: F.concat(s["head"], s["tail"]))
 
     return bound(value, text)
 

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import random
 import struct
+import time
 from decimal import Decimal
 
 import pytest
@@ -203,3 +204,35 @@ def test_unknown_json_mode(spark):
 def test_row_digest_separates_cells(spark):
     df = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, ""), ("", None)], "x string, y string")
     assert df.select(row_digest(df)).distinct().count() == 4
+
+
+def canonical(value):
+    """Canonical JSON of a value that JSON text gives."""
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{canonical(v)}" for k, v in sorted(value.items())) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(canonical, value)) + "]"
+    if isinstance(value, bool) or value is None or isinstance(value, str):
+        return json.dumps(value)
+    return f'{{"$number{"Int" if isinstance(value, int) else "Double"}":"{value}"}}'
+
+
+def test_branches_and_brackets_of_a_variant(variant):
+    branch = lambda n, end: {"a": 1, "n": branch(n - 1, end), "z": [True]} if n else end
+    docs = [
+        branch(9, [[], {}, [[None, "x"], 2.5]]), {"l": branch(5, "[[{"), "m": "]}", "r": branch(12, [branch(3, {"k": 7})])},
+        [], {}, [[]], [{"a": {}}, {"b": [1, "c", {"d": []}]}], "[{", 3, None, {"[": {"{": ["]"]}}, [[1, [2, [3, [4]]]], {"e": None}],
+    ]
+    docs = variant(*map(json.dumps, docs), None), docs
+    rows = docs[0].select(document_json(docs[0], "canonical", "doc").alias("text")).collect()
+    assert [r.text for r in rows] == [canonical(d) for d in docs[1]] + [None]
+
+
+def test_long_chains_of_a_variant_in_time(variant):
+    """A level costs what is still closed there, not what was opened before it."""
+    depth, count = 900, 100
+    docs = variant(*['{"n":' * depth + f"[{k}]" + "}" * depth for k in range(count)])
+    begin = time.monotonic()
+    rows = docs.select(document_json(docs, "canonical", "doc").alias("text")).collect()
+    assert time.monotonic() - begin < 60
+    assert [r.text for r in rows] == ['{"n":' * depth + f'[{{"$numberInt":"{k}"}}]' + "}" * depth for k in range(count)]
