@@ -112,6 +112,15 @@ def test_sort_puts_nulls_first_ascending_and_last_descending(spark, variant):
     assert order[2:] == ['{"v":2}', '{"v":10}', '{"v":"a"}', '{"v":"b"}']
 
 
+def test_variant_keys_are_taken_out_before_the_sort(variant, plan_of):
+    docs = variant(*[f'{{"a":{a}}}' for a in ("2", '"x"', "null", "1.5", "[1]")])
+    for found in (sort_docs(docs, "a:-1", "doc"), page(docs, "a:-1", limit=5, doc="doc")):
+        orders = [line for line in plan_of(found).splitlines() if "Arguments:" in line and " DESC NULLS LAST" in line]
+        assert orders and not any("variant" in line for line in orders)
+        assert found.columns == ["doc"]
+        assert [r[0] for r in found.select(F.to_json("doc")).collect()] == [f'{{"a":{a}}}' for a in ("[1]", '"x"', "2", "1.5", "null")]
+
+
 def test_one_hot_sort_key_is_spread_over_tasks(spark):
     df = spark.range(0, 100_000, 1, 4).select("id", F.lit("same").alias("k"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
