@@ -236,3 +236,48 @@ def test_long_chains_of_a_variant_in_time(variant):
     rows = docs.select(document_json(docs, "canonical", "doc").alias("text")).collect()
     assert time.monotonic() - begin < 60
     assert [r.text for r in rows] == ['{"n":' * depth + f'[{{"$numberInt":"{k}"}}]' + "}" * depth for k in range(count)]
+
+
+def extended(x):
+    """Canonical form of a parsed JSON value, fields by name."""
+    if isinstance(x, dict):
+        return {k: extended(v) for k, v in sorted(x.items())}
+    if isinstance(x, list):
+        return [extended(v) for v in x]
+    if isinstance(x, bool) or x is None or isinstance(x, str):
+        return x
+    if isinstance(x, float):
+        return {"$numberDouble": repr(x)}
+    return {"$numberInt" if -(2**31) <= x < 2**31 else "$numberLong": str(x)}
+
+
+def test_canonical_json_keeps_what_stands_around_its_leaves(variant):
+    wide = {"n": [1.0, "x"]}
+    for level in range(30):
+        wide = {"a": list(range(20)), "n": wide, "z": [level, [2.0, "y"]] * 10}
+    values = [
+        {},
+        [],
+        [[], {}, [{}], 1],
+        {"a": {}, "b": 1, "c": [], "d": [None, True, ["\\", '"', '\\"]},{', ""]]},
+        {"line": "ends\n", "a:b,c": "\r", "q\"'{[": {"\\": -0.5, "é😀": 2**40}, "z\n": " "},
+        "ends\n",
+        "7",
+        7,
+        1.0,
+        None,
+        False,
+        wide,
+    ]
+    docs = variant(*[json.dumps(v) for v in values], None)
+    texts = [r[0] for r in docs.select(document_json(docs, "canonical", "doc")).collect()]
+    assert texts == [json.dumps(extended(v), separators=(",", ":"), ensure_ascii=False) for v in values] + [None]
+
+
+def test_json_of_a_variant_asks_a_leaf_for_its_kind_once(variant):
+    docs = variant('{"a":[1,"x"]}')
+    for mode, others in (("canonical", 0), ("plain", 1), ("relaxed", 1)):
+        text = docs.select(document_json(docs, mode, "doc").alias("text"))
+        # Plain and relaxed look at the schema of the whole document too.
+        plan = text._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("SchemaOfVariant.schemaOfVariant(") == 1 + others, mode
