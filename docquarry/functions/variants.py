@@ -246,15 +246,17 @@ def _instant_leaf(leaf: Column, kind: str, dtype: T.DataType, mode: str) -> Colu
     """JSON of a VARIANT instant; never NULL text for a value outside the readable range."""
     from docquarry.functions.values import LAST_RFC3339_MS, epoch_millis, rfc3339
 
-    value = F.try_variant_get(leaf, "$", kind)
-    millis, readable = epoch_millis(value, dtype), F.concat(F.lit('"'), rfc3339(value, dtype), F.lit('"'))
-    counted = F.concat(F.lit('{"$date":{"$numberLong":"'), millis.cast("string"), F.lit('"}}'))
-    if mode == "plain":
-        return readable
-    if mode == "canonical":
-        return counted
-    inside = millis.between(0, LAST_RFC3339_MS)
-    return F.when(inside, F.concat(F.lit('{"$date":'), readable, F.lit("}"))).otherwise(counted)
+    def text(value: Column) -> Column:
+        millis, readable = epoch_millis(value, dtype), F.concat(F.lit('"'), rfc3339(value, dtype, bound), F.lit('"'))
+        counted = F.concat(F.lit('{"$date":{"$numberLong":"'), millis.cast("string"), F.lit('"}}'))
+        if mode == "plain":
+            return readable
+        if mode == "canonical":
+            return counted
+        inside = millis.between(0, LAST_RFC3339_MS)
+        return F.when(inside, F.concat(F.lit('{"$date":'), readable, F.lit("}"))).otherwise(counted)
+
+    return bound(F.try_variant_get(leaf, "$", kind), text)
 
 
 def _typed_leaf(leaf: Column, kind: Column, mode: str) -> Column:
@@ -278,14 +280,17 @@ def _canonical_leaf(leaf: Column, kind: Column) -> Column:
     """Canonical JSON of a VARIANT scalar; NULL where it is as Spark prints it."""
     from docquarry.functions.values import canonical_double_text
 
-    text = F.try_variant_get(leaf, "$", "string")
-    whole = F.try_variant_get(leaf, "$", "bigint")
-    int_key = F.when(whole.between(-(2**31), 2**31 - 1), "Int").otherwise("Long")
-    wrapped = lambda key, text: F.concat(F.lit('{"$number'), key, F.lit('":"'), text, F.lit('"}'))
-    number = canonical_double_text(F.try_variant_get(leaf, "$", "double"))
+    def whole(number: Column) -> Column:
+        key = F.when(number.between(-(2**31), 2**31 - 1), "Int").otherwise("Long")
+        return F.concat(F.lit('{"$number'), key, F.lit('":"'), number.cast("string"), F.lit('"}'))
+
+    def double(number: Column) -> Column:
+        return F.concat(F.lit('{"$numberDouble":"'), canonical_double_text(number), F.lit('"}'))
+
+    fractional = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
     return (
-        F.when(kind == "BIGINT", wrapped(int_key, text))
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), wrapped(F.lit("Double"), number))
+        F.when(kind == "BIGINT", bound(F.try_variant_get(leaf, "$", "bigint"), whole))
+        .when(fractional, bound(F.try_variant_get(leaf, "$", "double"), double))
         .otherwise(_typed_leaf(leaf, kind, "canonical"))
     )
 
@@ -294,11 +299,13 @@ def _readable_leaf(leaf: Column, kind: Column, mode: str) -> Column:
     """Plain or relaxed JSON of a VARIANT scalar; NULL where it is as Spark prints it."""
     from docquarry.functions.values import canonical_double_text
 
-    number = F.try_variant_get(leaf, "$", "double")
-    endless = F.isnan(number) | (F.abs(number) == float("inf"))
-    wrapped = F.concat(F.lit('{"$numberDouble":"'), canonical_double_text(number), F.lit('"}'))
-    shown = F.lit("null") if mode == "plain" else wrapped
-    return F.when(kind.isin("DOUBLE", "FLOAT"), F.when(endless, shown)).otherwise(_typed_leaf(leaf, kind, mode))
+    def endless(number: Column) -> Column:
+        wrapped = F.concat(F.lit('{"$numberDouble":"'), canonical_double_text(number), F.lit('"}'))
+        shown = F.lit("null") if mode == "plain" else wrapped
+        return F.when(F.isnan(number) | (F.abs(number) == float("inf")), shown)
+
+    double = bound(F.try_variant_get(leaf, "$", "double"), endless)
+    return F.when(kind.isin("DOUBLE", "FLOAT"), double).otherwise(_typed_leaf(leaf, kind, mode))
 
 
 def readable_json(value: Column, mode: str) -> Column:

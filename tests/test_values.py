@@ -281,3 +281,28 @@ def test_json_of_a_variant_asks_a_leaf_for_its_kind_once(variant):
         # Plain and relaxed look at the schema of the whole document too.
         plan = text._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("SchemaOfVariant.schemaOfVariant(") == 1 + others, mode
+
+
+@pytest.mark.parametrize("mode", ["canonical", "plain", "relaxed"])
+def test_json_of_a_variant_reads_a_leaf_once(spark, mode):
+    docs = spark.sql(
+        "SELECT parse_json(s) AS doc FROM VALUES ('{}'), (null) AS t(s) UNION ALL SELECT to_variant_object(named_struct("
+        "'t', timestamp_micros(-1), 'far', timestamp_millis(253402300800000), 'l', timestamp_ntz'2024-03-10 02:30:00.5', "
+        "'d', array(date'0001-01-01', null), 'f', cast(1.1 AS float), 'n', array(cast('-inf' AS double), 1e30D, 2.0D)))"
+    )
+    text = docs.select(document_json(docs, mode, "doc").alias("text"))
+    plan = text._jdf.queryExecution().optimizedPlan().toString()
+    for kind in ("TimestampType", "TimestampNTZType", "DateType", "DoubleType"):
+        assert plan.count(f", $, {kind}, ") == 1, kind
+    assert plan.count("timestampadd(MICROSECOND") == (mode != "canonical")
+    wanted = {
+        "canonical": '{"d":[{"$date":{"$numberLong":"-62135596800000"}},null],"f":{"$numberDouble":"1.100000023841858"},'
+        '"far":{"$date":{"$numberLong":"253402300800000"}},"l":{"$date":{"$numberLong":"1710037800500"}},'
+        '"n":[{"$numberDouble":"-Infinity"},{"$numberDouble":"1000000000000000000000000000000.0"},{"$numberDouble":"2.0"}],'
+        '"t":{"$date":{"$numberLong":"-1"}}}',
+        "plain": '{"d":["0001-01-01T00:00:00.000Z",null],"f":1.1,"far":"253402300800000","l":"2024-03-10T02:30:00.500Z",'
+        '"n":[null,1.0E30,2.0],"t":"1969-12-31T23:59:59.999Z"}',
+        "relaxed": '{"d":[{"$date":{"$numberLong":"-62135596800000"}},null],"f":1.1,"far":{"$date":{"$numberLong":"253402300800000"}},'
+        '"l":{"$date":"2024-03-10T02:30:00.500Z"},"n":[{"$numberDouble":"-Infinity"},1.0E30,2.0],"t":{"$date":{"$numberLong":"-1"}}}',
+    }
+    assert [r.text for r in text.collect()] == ["{}", None, wanted[mode]]
