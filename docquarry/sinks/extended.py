@@ -11,17 +11,18 @@ import json
 import struct
 
 # Element type bytes of the binary format.
-_DOUBLE, _STRING, _DOCUMENT, _ARRAY, _BINARY, _BOOLEAN, _DATETIME, _NULL = 0x01, 0x02, 0x03, 0x04, 0x05, 0x08, 0x09, 0x0A
-_INT32, _INT64 = 0x10, 0x12
+_DOUBLE, _STRING, _DOCUMENT, _ARRAY, _BINARY = b"\x01", b"\x02", b"\x03", b"\x04", b"\x05"
+_BOOLEAN, _DATETIME, _NULL, _INT32, _INT64 = b"\x08", b"\x09", b"\x0a", b"\x10", b"\x12"
+_int32, _int64, _double = struct.Struct("<i").pack, struct.Struct("<q").pack, struct.Struct("<d").pack
 
 
 def _text(value: str) -> bytes:
     body = value.encode("utf-8")
-    return struct.pack("<i", len(body) + 1) + body + b"\0"
+    return _int32(len(body) + 1) + body + b"\0"
 
 
 def _framed(body: bytes) -> bytes:
-    return struct.pack("<i", len(body) + 5) + body + b"\0"
+    return _int32(len(body) + 5) + body + b"\0"
 
 
 def _name(name: str) -> bytes:
@@ -31,23 +32,22 @@ def _name(name: str) -> bytes:
     return body + b"\0"
 
 
-def _wrapped(key: str, body) -> tuple[int, bytes] | None:
-    """Type and payload of a wrapper, None for any other key."""
-    if key == "$numberInt":
-        return _INT32, struct.pack("<i", int(body))
-    if key == "$numberLong":
-        return _INT64, struct.pack("<q", int(body))
-    if key == "$numberDouble":
-        return _DOUBLE, struct.pack("<d", float(body))
-    if key == "$date":
-        return _DATETIME, struct.pack("<q", int(body["$numberLong"]))
-    if key == "$binary":
-        data = base64.b64decode(body["base64"])
-        return _BINARY, struct.pack("<i", len(data)) + bytes([int(body["subType"], 16)]) + data
-    return None
+def _binary(body: dict) -> bytes:
+    data = base64.b64decode(body["base64"])
+    return _int32(len(data)) + bytes([int(body["subType"], 16)]) + data
 
 
-def value_payload(value) -> tuple[int, bytes]:
+#: Type and payload of what a wrapper holds, by its key.
+_WRAPPED = {
+    "$numberInt": (_INT32, lambda body: _int32(int(body))),
+    "$numberLong": (_INT64, lambda body: _int64(int(body))),
+    "$numberDouble": (_DOUBLE, lambda body: _double(float(body))),
+    "$date": (_DATETIME, lambda body: _int64(int(body["$numberLong"]))),
+    "$binary": (_BINARY, _binary),
+}
+
+
+def value_payload(value) -> tuple[bytes, bytes]:
     """Type byte and payload of a parsed value.
 
     Containers are finished from the inside out with a stack of their own, so nesting is not bounded by Python's.
@@ -55,49 +55,52 @@ def value_payload(value) -> tuple[int, bytes]:
     scalar = _scalar(value)
     if scalar is not None:
         return scalar
-    # (type, names, children still to do, elements done)
-    stack = [_opened(value)]
+    # (name, type, children still to do, bytes of the elements done)
+    stack = [(b"", *_opened(value))]
     while True:
-        code, left, done = stack[-1]
-        if left:
-            name, child = left.pop()
+        name, code, left, done = stack[-1]
+        for inner, child in left:
             scalar = _scalar(child)
             if scalar is None:
-                stack.append(_opened(child))
-                done.append((name, None))
-            else:
-                done.append((name, scalar))
-            continue
-        body = _framed(b"".join(bytes([c]) + _name(n) + p for n, (c, p) in done))
-        stack.pop()
-        if not stack:
-            return code, body
-        outer = stack[-1][2]
-        outer[-1] = (outer[-1][0], (code, body))
-
-
-def _opened(value) -> tuple[int, list, list]:
+                stack.append((_name(inner), *_opened(child)))
+                break
+            done += (scalar[0], _name(inner), scalar[1])
+        else:
+            body = _framed(b"".join(done))
+            stack.pop()
+            if not stack:
+                return code, body
+            stack[-1][-1].extend((code, name, body))
+
+
+def _opened(value) -> tuple:
     if isinstance(value, dict):
-        return _DOCUMENT, list(value.items())[::-1], []
-    return _ARRAY, [(str(i), x) for i, x in enumerate(value)][::-1], []
+        return _DOCUMENT, iter(value.items()), []
+    return _ARRAY, ((str(i), x) for i, x in enumerate(value)), []
 
 
-def _scalar(value) -> tuple[int, bytes] | None:
+def _scalar(value) -> tuple[bytes, bytes] | None:
     """Type and payload of anything but a document or an array."""
     if isinstance(value, dict):
-        return _wrapped(*next(iter(value.items()))) if len(value) == 1 else None
+        if len(value) != 1:
+            return None
+        ((key, body),) = value.items()
+        if key not in _WRAPPED:
+            return None
+        code, payload = _WRAPPED[key]
+        return code, payload(body)
+    if isinstance(value, str):
+        return _STRING, _text(value)
     if isinstance(value, list):
         return None
     if value is None:
         return _NULL, b""
     if isinstance(value, bool):
         return _BOOLEAN, bytes([value])
-    if isinstance(value, str):
-        return _STRING, _text(value)
     raise ValueError(f"canonical text wraps its numbers; {value!r} is bare")
 
 
-def text_payload(text: str | None) -> tuple[int, bytes]:
+def text_payload(text: str | None) -> tuple[bytes, bytes]:
     """Type byte and payload of a canonical JSON text; NULL text is a null."""
     return (_NULL, b"") if text is None else value_payload(json.loads(text))
 

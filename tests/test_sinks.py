@@ -141,6 +141,21 @@ def test_bson_of_schemaless_documents(variant):
             encode_bson(variant(odd), "doc").collect()
 
 
+def test_bson_of_odd_schemaless_documents(variant):
+    level, docs = {"n": [[], {}, [{"": None}], "x"]}, []
+    for n in range(30):
+        level = {"a": [n, [n + 0.5, {"k": True}]], "n": level, "z": {}}
+    docs += [level, {"line": "ends\n", "name\n": "\r", "é😀": "[{,:", "big": -(2**31) - 1}, {}]
+    wanted = lambda x: (
+        {k: wanted(v) for k, v in x.items()} if isinstance(x, dict) else [wanted(v) for v in x] if isinstance(x, list)
+        else ("int32", x) if type(x) is int and -(2**31) <= x < 2**31 else x
+    )
+    raw = [bytes(r.bson) for r in encode_bson(variant(*map(json.dumps, docs)), "doc").collect()]
+    assert [document_at(r, 0) for r in raw] == [(wanted(d), len(r)) for d, r in zip(docs, raw, strict=True)]
+    with pytest.raises(Exception, match="cannot hold a zero byte"):
+        encode_bson(variant('{"a":[{"b\\u0000":1}]}'), "doc").collect()
+
+
 def test_bson_of_variants_among_typed_columns(spark):
     df = spark.sql(
         "SELECT 1L AS k, parse_json('[1,{\"x\":null}]') AS v, cast(null as variant) AS gone, "
